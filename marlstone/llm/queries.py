@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
+from . import bpe, language
 from . import survivors as best
 
 EXPORT_DAY = "2026-06-30"
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def _grouped_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +29,45 @@ def p5_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.survivor_records(_grouped_identifiers(spark, sf_dir), ["group_id", "identifier_type"], ["identifier_value", "normalized_value", "country_code", "source"])
 
 
-QUERIES = {"p5_found": p5_found, "p5_survivors": p5_survivors}
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of every document by byte_bpe_50k; the vocabulary's path is a setting of the session."""
+    path = spark.conf.get("spark.marlstone.vocabulary", VOCABULARY)
+    return bpe.encode(table(spark, sf_dir, "documents"), "doc_id", "text", path)
+
+
+def p6_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, tokens and characters by kind of document."""
+    kinds = table(spark, sf_dir, "documents").select("doc_id", "doc_kind", "n_chars")
+    return p6_ids(spark, sf_dir).join(kinds, "doc_id").groupBy("doc_kind").agg(F.count("*").alias("documents"), F.sum(F.size("ids")).alias("tokens"), F.sum("n_chars").alias("chars"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of the documents with a missing or wrong label or with more than one language."""
+    return p8_confidence(spark, sf_dir).select("doc_id", "lang")
+
+
+def p8_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p8_found with the confidence of each language."""
+    documents = table(spark, sf_dir, "documents")
+    model = language.fitted(documents, "doc_id", "text", "lang")
+    return language.wrong_or_mixed(documents, "doc_id", "text", "lang", model)
+
+
+def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sentence of every document with its language and confidence."""
+    documents = table(spark, sf_dir, "documents")
+    return language.passages(documents, "doc_id", "text", language.fitted(documents, "doc_id", "text", "lang"))
+
+
+QUERIES = {
+    "p5_found": p5_found,
+    "p5_survivors": p5_survivors,
+    "p6_ids": p6_ids,
+    "p6_counts": p6_counts,
+    "p8_found": p8_found,
+    "p8_confidence": p8_confidence,
+    "p8_passages": p8_passages,
+}
 
 _P5 = r"""
 WITH RECURSIVE decision AS (
