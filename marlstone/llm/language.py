@@ -62,6 +62,7 @@ _TABLE = re.compile(r"\t|\S\s*\|\s*\S|\S {2,}\S+ {2,}\S| ?; ?\d+ ?; ?")
 _END = re.compile(r"(?<=[.!?…:])[\"'”’»)]*\s+(?=[\"'“‘«(¿¡]*[^\W_])|(?<=[。！？])|\n{2,}")
 _ENDED = re.compile(r"[.!?。！？…][\"'”’»)\]]*$")
 _WORD = re.compile(r"[぀-ヿㇰ-ㇿｦ-ﾟ]+|[㐀-䶿一-鿿豈-﫿々]+|[가-힯]+|[^\W\d_]+(?:['’][^\W\d_]+)?")
+_LATIN = re.compile("[a-zß-ÿĀ-ɏḀ-ỿ'’]+$")
 _KANA, _HAN, _HANGUL = re.compile("[぀-ヿㇰ-ㇿｦ-ﾟ]"), re.compile("[㐀-䶿一-鿿豈-﫿]"), re.compile("[가-힯]")
 
 
@@ -150,7 +151,7 @@ def fit(rows: Iterable[tuple[str, str]], rounds: int = 3) -> Model:
     lines, labels = [], []
     for code, parts in documents:
         for words in parts:
-            ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words if not _HAN.search(w) and not _KANA.search(w)]
+            ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words if _LATIN.match(w)]
             # sentences in another script than their label's say nothing about its words
             if ids and len(ids) > len(words) // 2 and code not in SCRIPTS:
                 lines.append(np.array(ids))

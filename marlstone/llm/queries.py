@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, language
+from . import bpe, language, leakage
 from . import survivors as best
 
 EXPORT_DAY = "2026-06-30"
@@ -41,6 +41,16 @@ def p6_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_ids(spark, sf_dir).join(kinds, "doc_id").groupBy("doc_kind").agg(F.count("*").alias("documents"), F.sum(F.size("ids")).alias("tokens"), F.sum("n_chars").alias("chars"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least half of an evaluation item's words."""
+    return p7_coverage(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p7_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p7_found with the share of the item's words that the document holds."""
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of the documents with a missing or wrong label or with more than one language."""
     return p8_confidence(spark, sf_dir).select("doc_id", "lang")
@@ -64,6 +74,8 @@ QUERIES = {
     "p5_survivors": p5_survivors,
     "p6_ids": p6_ids,
     "p6_counts": p6_counts,
+    "p7_found": p7_found,
+    "p7_coverage": p7_coverage,
     "p8_found": p8_found,
     "p8_confidence": p8_confidence,
     "p8_passages": p8_passages,
