@@ -6,13 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, language, leakage
+from . import bpe, language, leakage, names
 from . import survivors as best
 
 EXPORT_DAY = "2026-06-30"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of rows that name one company or one person in different texts."""
+    companies = names.same_names(table(spark, sf_dir, "cn_stage_applicant"), "row_id", "raw_name", "company", "raw_address")
+    people = names.same_names(table(spark, sf_dir, "person"), "row_id", "normalized_name", "person")
+    return companies.select(F.lit("cn_stage_applicant").alias("source_table"), "*").unionAll(people.select(F.lit("person").alias("source_table"), "*"))
+
+
 def _grouped_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = best.duplicate_groups(table(spark, sf_dir, "entity_merge_decision"))
     rows = best.measured(table(spark, sf_dir, "entity_identifier"), EXPORT_DAY)
@@ -70,6 +77,7 @@ def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p3_found": p3_found,
     "p5_found": p5_found,
     "p5_survivors": p5_survivors,
     "p6_ids": p6_ids,
