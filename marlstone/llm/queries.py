@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, language, leakage, names
+from . import addresses, bpe, language, leakage, names
 from . import survivors as best
 
 EXPORT_DAY = "2026-06-30"
@@ -20,6 +20,13 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return companies.select(F.lit("cn_stage_applicant").alias("source_table"), "*").unionAll(people.select(F.lit("person").alias("source_table"), "*"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of rows that give one place in different texts."""
+    applicants, people = table(spark, sf_dir, "cn_stage_applicant"), table(spark, sf_dir, "person")
+    tables = {"cn_stage_applicant": (applicants, "row_id", "raw_address"), "person": (people, "row_id", "canonical_name")}
+    return addresses.same_places(tables, applicants, "city")
+
+
 def _grouped_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = best.duplicate_groups(table(spark, sf_dir, "entity_merge_decision"))
     rows = best.measured(table(spark, sf_dir, "entity_identifier"), EXPORT_DAY)
@@ -78,6 +85,7 @@ def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p3_found": p3_found,
+    "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_survivors": p5_survivors,
     "p6_ids": p6_ids,
