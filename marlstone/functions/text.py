@@ -7,13 +7,14 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Texts that stand for "nothing" in register files and in contact files.
 NULL_LIKE = ("null", "none", "nan", "n/a", "na", "-", "--")
 CONTACT_NULL_LIKE = (*NULL_LIKE, "无", "暂无", "未知", "不详")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFKC", t) if isinstance(t, str) else t)
 

@@ -16,8 +16,8 @@ def strongest_signal(df: DataFrame, keys: Sequence[str], precedence: Column, lin
 
 
 def latest_known(columns: Sequence[str], line: str) -> list[Column]:
-    """Aggregates: for each column the value of the last line that has one (nulls do not hide earlier values)."""
-    return [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(line))).alias(c) for c in columns]
+    """Aggregates: for each column the value of the last line that has one (nulls do not hide earlier values); of one line the greatest."""
+    return [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(line, c))).alias(c) for c in columns]
 
 
 def bounded_examples(example: Column, most: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-NAMES = ("training",)
+NAMES = ("training", "relational")
 
 
 def modules() -> list[ModuleType]:
