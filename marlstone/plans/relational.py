@@ -429,8 +429,8 @@ def audit_metrics(spark, d):
     return out
 
 
-@query("""WITH k AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1), s AS (SELECT l_orderkey, n, coalesce(sum(n) OVER (ORDER BY l_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM k)
-SELECT floor(at / 1000)::bigint AS range_no, min(l_orderkey) AS lower, max(l_orderkey) AS upper, sum(n)::bigint AS rows FROM s GROUP BY 1""")
+@query("""WITH k AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1), s AS (SELECT l_orderkey, n, coalesce(sum(n) OVER (ORDER BY l_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM k)
+SELECT floor(pos / 1000)::bigint AS range_no, min(l_orderkey) AS lower, max(l_orderkey) AS upper, sum(n)::bigint AS rows FROM s GROUP BY 1""")
 def range_planner(spark, d):
     """A-8: contiguous key ranges of about 1,000 rows; no key is split."""
     return selection.key_ranges(table(spark, d, "lineitem").select("l_orderkey"), "l_orderkey", 1000)
