@@ -107,16 +107,18 @@ def encode(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
     The words that are no vocabulary entry are made distinct over the corpus with partial aggregation, so a
     word in most texts is encoded once and its rows are spread by the skew join.
     """
-    hexed = F.transform(words(F.col(text)), lambda w: F.hex(F.encode(w, "UTF-8")))
-    base = df.select(key, hexed.alias("w"))
-    ids = _with_table(path, lambda table: F.transform(F.col("w"), lambda w: _rank(table, w)))
+    base = df.select(key, words(F.col(text)).alias("w"))
+    hexed = lambda word: F.hex(F.encode(word, "UTF-8"))
+    ids = _with_table(path, lambda table: F.transform(F.transform("w", hexed), lambda piece: _rank(table, piece)))
     looked = base.select(key, "w", ids.alias("known"))
     open_words = looked.select(key, F.posexplode(F.arrays_zip("w", "known")).alias("pos", "x")).where("x.known is null").select(key, "pos", F.col("x.w").alias("word"))
-    coded = open_words.select("word").distinct().select("word", _with_table(path, lambda table: _merged(table, F.col("word"))).alias("ids"))
+    distinct = open_words.select("word").distinct().select("word", hexed(F.col("word")).alias("hexed"))
+    coded = distinct.select("word", _with_table(path, lambda table: F.element_at(F.transform(F.array("hexed"), lambda piece: _merged(table, piece)), 1)).alias("ids"))
     found = open_words.join(coded, "word").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("open"))
+    # the ids known in place travel as plain numbers and get their places behind the join
+    rest = looked.select(key, "known").join(found, key, "left")
     known = F.filter(F.transform("known", lambda i, at: F.struct(at.cast("int").alias("pos"), F.array(i).alias("ids"))), lambda x: F.element_at(x["ids"], 1).isNotNull())
-    rest = looked.select(key, known.alias("known")).join(found, key, "left")
-    ordered = F.array_sort(F.concat("known", F.coalesce("open", F.array().cast("array<struct<pos:int,ids:array<int>>>"))))
+    ordered = F.array_sort(F.concat(known, F.coalesce("open", F.array().cast("array<struct<pos:int,ids:array<int>>>"))))
     return rest.select(key, F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))
 
 
