@@ -94,9 +94,6 @@ def timeline_lag_diff(spark, d):
     return _changed(spark, d).where("change_types <> ''")
 
 
-_CUT = "2024-01-01"
-
-
 def _sides(spark, d):
     rows = _orders(spark, d).select("o_custkey", F.unix_date(F.col("o_orderdate").cast("date")).alias("rank"), "o_orderstatus", "o_orderkey")
     middle = rows.agg(F.percentile("rank", 0.5).cast("int")).first()[0] or 0
@@ -144,14 +141,12 @@ def true_delta_events(spark, d):
     return versioning.true_delta_events(old, new, ["p_partkey"], "rank", {"p_brand": "BRAND_CHANGED", "p_size": "SIZE_CHANGED"})
 
 
-_PRECEDENCE = F.when(F.col("l_returnflag") == "R", 30).when(F.col("l_returnflag") == "A", 20).otherwise(10)
-
-
 @query("""SELECT l_partkey, l_suppkey, arg_max(l_returnflag, (p, line)) AS l_returnflag, max(p) AS precedence FROM (SELECT *, CASE l_returnflag WHEN 'R' THEN 30 WHEN 'A' THEN 20 ELSE 10 END AS p, l_orderkey * 10 + l_linenumber AS line FROM lineitem) GROUP BY 1, 2""")
 def strongest_signal(spark, d):
     """R-8: of each part and supplier the line of the strongest flag, then the last line."""
     rows = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"))
-    return summaries.strongest_signal(rows, ["l_partkey", "l_suppkey"], _PRECEDENCE, "line", ["l_returnflag"])
+    precedence = F.when(F.col("l_returnflag") == "R", 30).when(F.col("l_returnflag") == "A", 20).otherwise(10)
+    return summaries.strongest_signal(rows, ["l_partkey", "l_suppkey"], precedence, "line", ["l_returnflag"])
 
 
 @query("""SELECT l_orderkey, count(*) AS items, count(*) FILTER (l_returnflag = 'R') AS returned, count(*) FILTER (l_returnflag = 'A') AS accepted, array_to_string(list_sort(list(DISTINCT l_linestatus)), ',') AS statuses,
