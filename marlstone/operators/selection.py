@@ -44,11 +44,16 @@ def top_k(df: DataFrame, order: Sequence[Column], capacity: int) -> DataFrame:
 def key_ranges(df: DataFrame, key: str, rows: int) -> DataFrame:
     """(range_no, lower, upper, rows): contiguous ranges of about `rows` rows each; a key is never split.
 
-    Keys are counted before they are numbered, and the running sum is taken over the partitions of a range
-    partitioning with the sums before each partition, so no task sees all keys.
+    key is a whole number. Keys are counted before they are numbered; the running sum goes over blocks of equal
+    key width and then within each block, so no task sees all keys. Blocks are as many as 1000 at most.
     """
-    counts = df.groupBy(key).agg(F.count("*").alias("n")).repartitionByRange(key).sortWithinPartitions(key).withColumn("__p", F.spark_partition_id())
-    sums = counts.groupBy("__p").agg(F.sum("n").alias("part")).withColumn("before", F.coalesce(F.sum("part").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    own = F.sum("n").over(W.partitionBy("__p").orderBy(key).rowsBetween(W.unboundedPreceding, -1))
-    placed = counts.join(F.broadcast(sums.select("__p", "before")), "__p").withColumn("at", F.col("before") + F.coalesce(own, F.lit(0)))  # a row per partition
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    ends = counts.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    if ends["lo"] is None:
+        return counts.select(F.lit(0).cast("bigint").alias("range_no"), F.col(key).alias("lower"), F.col(key).alias("upper"), F.col("n").alias("rows"))
+    width = (ends["hi"] - ends["lo"]) // 1000 + 1
+    blocks = counts.withColumn("__b", F.floor((F.col(key) - ends["lo"]) / width).cast("int"))
+    sums = blocks.groupBy("__b").agg(F.sum("n").alias("part")).withColumn("before", F.coalesce(F.sum("part").over(W.orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    own = F.sum("n").over(W.partitionBy("__b").orderBy(key).rowsBetween(W.unboundedPreceding, -1))
+    placed = blocks.join(F.broadcast(sums.select("__b", "before")), "__b").withColumn("at", F.col("before") + F.coalesce(own, F.lit(0)))  # at most 1001 rows
     return placed.groupBy(F.floor(F.col("at") / rows).cast("bigint").alias("range_no")).agg(F.min(key).alias("lower"), F.max(key).alias("upper"), F.sum("n").alias("rows"))

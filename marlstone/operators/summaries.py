@@ -20,9 +20,14 @@ def latest_known(columns: Sequence[str], line: str) -> list[Column]:
     return [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(line, c))).alias(c) for c in columns]
 
 
-def bounded_examples(example: Column, most: int) -> Column:
-    """Aggregate: the smallest `most` examples, sorted. For groups whose distinct examples fit an executor."""
-    return F.slice(F.array_sort(F.collect_set(example)), 1, most)
+def bounded_examples(df: DataFrame, keys: Sequence[str], example: str, most: int) -> DataFrame:
+    """(keys, examples): the smallest `most` distinct examples of each key, sorted.
+
+    Examples beyond the first `most` are dropped in each partition already, so a hot key is never collected.
+    """
+    rows = df.select(*keys, example).where(F.col(example).isNotNull()).distinct()
+    few = rows.withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(example))).where(F.col("__n") <= most)
+    return few.groupBy(*keys).agg(F.array_sort(F.collect_list(example)).alias("examples"))
 
 
 def only_value(value: Column) -> Column:

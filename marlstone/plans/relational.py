@@ -471,8 +471,10 @@ def islands(spark, d):
 @query("""SELECT c_nationkey, array_to_string(list_slice(list_sort(list(c_custkey)), 1, 5), ',') AS examples, string_agg(DISTINCT c_mktsegment, '+' ORDER BY c_mktsegment) AS segments, round(sum(c_acctbal::decimal(18,4))::double, 2) AS balance FROM customer GROUP BY 1""")
 def bounded_examples(spark, d):
     """R-14, R-22: the first examples, joined names and sums per group."""
-    rows = table(spark, d, "customer").groupBy("c_nationkey").agg(summaries.bounded_examples(F.col("c_custkey"), 5).alias("e"), F.array_join(F.array_sort(F.collect_set("c_mktsegment")), "+").alias("segments"), F.round(_money("c_acctbal"), 2).alias("balance"))
-    return rows.select("c_nationkey", F.array_join(F.transform("e", lambda x: x.cast("string")), ",").alias("examples"), "segments", "balance")
+    customers = table(spark, d, "customer")
+    sums = customers.groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_set("c_mktsegment")), "+").alias("segments"), F.round(_money("c_acctbal"), 2).alias("balance"))
+    rows = sums.join(summaries.bounded_examples(customers, ["c_nationkey"], "c_custkey", 5), "c_nationkey", "left")
+    return rows.select("c_nationkey", F.array_join(F.transform("examples", lambda x: x.cast("string")), ",").alias("examples"), "segments", "balance")
 
 
 @query("SELECT c_custkey, array_to_string(list(n_name ORDER BY n_nationkey), '|') AS names FROM customer JOIN nation ON n_regionkey = c_custkey % 5 GROUP BY 1")

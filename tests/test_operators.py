@@ -78,6 +78,25 @@ def test_predecessors_of_one_rank(spark):
     assert rows(history.previous_as_of(df, ["s"], F.col("r"), ["v"]), "v", "previous_v") == [("a", None), ("b", "a"), ("c", "a")]
 
 
+def test_hot_subjects_are_cut_without_a_trace(spark):
+    import random
+
+    rng = random.Random(4)
+    data = [("hot" if k % 3 else f"s{k % 5}", rng.randrange(60), k, rng.choice("xyz")) for k in range(400)]
+    df = spark.createDataFrame(data, "s string, r int, id int, v string")
+    for run in (
+        lambda n: history.previous_as_of(df, ["s"], F.col("r"), ["v"], hot_rows=n),
+        lambda n: history.with_changes(df, ["s"], ["r", "id"], {"v": "V_CHANGED"}, hot_rows=n).withColumn("changes", F.to_json("changes")),
+        lambda n: history.islands(df, ["s"], "id", F.col("v") == "x", hot_rows=n),
+    ):
+        assert rows(run(25)) == rows(run(10**6))
+
+
+def test_examples_are_few_and_smallest(spark):
+    df = spark.createDataFrame([("a", k % 50) for k in range(300)] + [("b", 1), ("c", None)], "k string, e int")
+    assert rows(summaries.bounded_examples(df, ["k"], "e", 3)) == [("a", [0, 1, 2]), ("b", [1])]
+
+
 def test_key_ranges_never_split_a_key(spark):
     df = spark.createDataFrame([(k % 7,) for k in range(100)], "k int")
     out = rows(selection.key_ranges(df, "k", 30), "lower", "upper", "rows")
