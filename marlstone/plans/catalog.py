@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-NAMES = ("training", "relational")
+NAMES = ("training", "relational", "registers")
 
 
 def modules() -> list[ModuleType]:
