@@ -59,10 +59,11 @@ _INVISIBLE = re.compile(r"[­​-‏⁠-⁤﻿]")
 _BRACKETS = re.compile(r"\([^()]*\)|（[^（）]*）|\[[^\[\]]*\]|【[^【】]*】")
 _QUOTE = re.compile(r"«[^«»]*»|“[^“”]*”|„[^„“”]*[“”]|‹[^‹›]*›")
 _TABLE = re.compile(r"\t|\S\s*\|\s*\S|\S {2,}\S+ {2,}\S| ?; ?\d+ ?; ?")
-_END = re.compile(r"(?<=[.!?…:])[\"'”’»)]*\s+(?=[\"'“‘«(¿¡]*[^\W_])|(?<=[。！？])|\n{2,}")
+_END = re.compile(r"(?<=[.!?…:])(?<![^A-Za-z.][A-Z]\.)[\"'”’»)]*\s+(?=[\"'“‘«(¿¡]*[^\W_])|(?<=[。！？])|\n{2,}")
 _ENDED = re.compile(r"[.!?。！？…][\"'”’»)\]]*$")
-_WORD = re.compile(r"[぀-ヿㇰ-ㇿｦ-ﾟ]+|[㐀-䶿一-鿿豈-﫿々]+|[가-힯]+|[^\W\d_]+(?:['’][^\W\d_]+)?")
+_WORD = re.compile(r"[぀-ヿㇰ-ㇿｦ-ﾟ]+|[㐀-䶿一-鿿豈-﫿々]+|[가-힯]+|[^\W\d_぀-ヿ㐀-䶿一-鿿豈-﫿가-힯]+(?:['’][a-zà-ÿ]+)?")
 _LATIN = re.compile("[a-zß-ÿĀ-ɏḀ-ỿ'’]+$")
+_CJK = re.compile("[぀-ヿㇰ-ㇿｦ-ﾟ㐀-䶿一-鿿豈-﫿々가-힯]")
 _KANA, _HAN, _HANGUL = re.compile("[぀-ヿㇰ-ㇿｦ-ﾟ]"), re.compile("[㐀-䶿一-鿿豈-﫿]"), re.compile("[가-힯]")
 
 
@@ -102,6 +103,8 @@ def sentences(text: str) -> list[tuple[str, int]]:
 
 def _is_table(line: str) -> bool:
     """Whether a line with cell marks is a row of codes and numbers: no cell is running text, and few tokens are words."""
+    if len(_CJK.findall(line)) > 12:
+        return False
     parts = line.split()
     worded = sum(bool(re.fullmatch(r"[^\W\d_]{2,}[.,;:!?]?", w)) for w in parts)
     if "\t" in line or "|" in line:
@@ -252,8 +255,9 @@ def label_texts(model: Model, texts: list[str | None]) -> Iterator[list[tuple[in
                 continue
             total = model.scores[rows].sum(0)
             margin = float(total[lead] - max(np.delete(total, lead), default=0))
-            known = sum(float(model.scores[r, lead]) > 0.5 for r in rows)
-            size = known if model.languages[lead] not in ("zh", "ja", "ko") else sum(map(len, words))
+            # single letters are mostly initials; of a Han or Kana text its own characters count
+            known = sum(len(w) > 1 and float(model.scores[r, lead]) > 0.5 for w, r in zip(words, rows, strict=True))
+            size = known if model.languages[lead] not in ("zh", "ja", "ko") else sum(len(w) for w in words if _CJK.match(w))
             out.append((offset, sentence, model.languages[lead], margin, size))
         yield out
 
