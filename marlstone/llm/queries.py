@@ -15,9 +15,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of rows that name one company or one person in different texts."""
-    companies = names.same_names(table(spark, sf_dir, "cn_stage_applicant"), "row_id", "raw_name", "company", "raw_address")
-    people = names.same_names(table(spark, sf_dir, "person"), "row_id", "normalized_name", "person")
-    return companies.select(F.lit("cn_stage_applicant").alias("source_table"), "*").unionAll(people.select(F.lit("person").alias("source_table"), "*"))
+    applicants, people = table(spark, sf_dir, "cn_stage_applicant"), table(spark, sf_dir, "person")
+    return names.same_names({"cn_stage_applicant": (applicants, "row_id", "raw_name", "company", "raw_address"), "person": (people, "row_id", "normalized_name", "person", None)})
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
