@@ -66,3 +66,16 @@ def ordered_current(states: DataFrame, key: str, order: Sequence[str], operation
     checked = F.when(F.col("n") > 1, F.raise_error(F.lit("two objects share a place in the order")).cast("string")).otherwise(F.col("s")[operation])
     out = joined.withColumn("__op", checked).where("__op <> 'DELETE'")
     return out.select(key, *[F.col("s")[c].alias(c) for c in states.columns if c != key])
+
+
+def key_values(df: DataFrame, text: str, wanted: dict[str, Sequence[str]], line: str = r"\r?\n", mark: str = r"\s*[:：=]\s*") -> DataFrame:
+    """df with a column per wanted name from lines of "key: value" text; a key's aliases count too, case and blanks aside, the first line wins."""
+    plain = lambda c: F.lower(F.regexp_replace(c, r"[\s_\-]+", ""))
+    pairs = F.filter(F.transform(F.split(F.col(text), line), lambda x: F.split(x, mark, 2)), lambda p: F.size(p) == 2)
+    rows = df.withColumn("__kv", F.transform(pairs, lambda p: F.struct(plain(F.element_at(p, 1)).alias("k"), F.trim(F.element_at(p, 2)).alias("v"))))
+
+    def first(names: Sequence[str]) -> Column:
+        keys = sorted({"".join(a.lower().replace("_", "").replace("-", "").split()) for a in names})
+        return F.get(F.transform(F.filter("__kv", lambda p: p["k"].isin(*keys) & (p["v"] != "")), lambda p: p["v"]), F.lit(0))
+
+    return rows.select(*df.columns, *[first((name, *aliases)).alias(name) for name, aliases in wanted.items()])

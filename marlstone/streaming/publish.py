@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.history import feed_page
 from ..operators.versioning import latest_by, rank_guarded_merge, true_delta_events
 from ..sources.store import append_history, current_snapshot, publish_snapshot
 
@@ -49,3 +50,14 @@ def windowed_counts(events: DataFrame, time: str, key: str, width: str, late: st
     """Events per window and key with a watermark; works on streams and tables alike."""
     rows = events.withWatermark(time, late) if events.isStreaming else events
     return rows.groupBy(F.window(time, width), key).agg(F.count("*").alias("events")).select(F.col("window.start").alias("start"), key, "events")
+
+
+def next_batch(rows: DataFrame, order: Sequence[str], watermark: Sequence | None, capacity: int) -> tuple[DataFrame, tuple | None]:
+    """The next `capacity` rows behind a watermark and the watermark to store once they are done.
+
+    The watermark is that of the last row taken, so a batch that breaks off is taken again. An exhausted source
+    gives no rows and the old watermark.
+    """
+    page = feed_page(rows, order, watermark, capacity).drop("has_more")
+    last = page.agg(F.max(F.struct(*order)).alias("w")).first()["w"]
+    return page, tuple(last) if last is not None else (tuple(watermark) if watermark is not None else None)

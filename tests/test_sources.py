@@ -136,3 +136,29 @@ def test_stream_publishes_like_a_batch(spark, tmp_path):
     assert spark.table("feed").count() == 1
     counts = publish.windowed_counts(events, "observed_at", "k", "1 day", "1 hour")
     assert [(r["k"], r["events"]) for r in counts.collect()] == [("a", 1)]
+
+
+def test_key_value_text_and_batches(spark):
+    df = spark.createDataFrame([(1, "Serial Number: 123\nE-mail：a@b.test\nemail: second@b.test\nnote without mark"), (2, None)], "id int, body string")
+    out = registers.key_values(df, "body", {"serial_number": [], "email": ["e-mail"]}).orderBy("id").collect()
+    assert [(r["serial_number"], r["email"]) for r in out] == [("123", "a@b.test"), (None, None)]
+    rows, mark, seen = spark.range(25).select((F.col("id") % 3).alias("r"), F.col("id").alias("k")), None, []
+    for _ in range(4):
+        batch, mark = publish.next_batch(rows, ["r", "k"], mark, 10)
+        seen += [tuple(r) for r in batch.orderBy("r", "k").collect()]
+    assert seen == sorted((k % 3, k) for k in range(25)) and mark == seen[-1]
+
+
+def test_read_functions(spark, data):
+    from marlstone.plans import serve
+
+    with pytest.raises(ValueError):
+        serve.serial_number("12")
+    one = serve.case_360(spark, data).where("owners is not null").first()["serial_number"]
+    assert serve.case_360(spark, data, [one]).count() == 1 and serve.owners(spark, data, one).count() > 0
+    assert serve.events(spark, data, one).count() >= 0 and serve.changes(spark, data, None, 5).count() == 5
+    wrapped = serve.envelope(serve.owners(spark, data, one), "us", "owner", "1", ["serial_number", "owner_key"]).first()
+    assert wrapped["subject"].startswith(one + "|") and json.loads(wrapped["payload"])["serial_number"] == one
+    broken = spark.createDataFrame([(None,)], "k string")
+    with pytest.raises(Exception, match="without a subject"):
+        serve.envelope(broken, "us", "x", "1", ["k"]).collect()
