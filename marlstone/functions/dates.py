@@ -45,4 +45,5 @@ def is_weekend(date: Column) -> Column:
 
 
 def epoch_millis(time: Column) -> Column:
-    return F.unix_millis(time.cast("timestamp"))
+    """Milliseconds since 1970 of a timestamp_ntz, free of the session's time zone."""
+    return F.timestamp_diff("MILLISECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), time.cast("timestamp_ntz"))

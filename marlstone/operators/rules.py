@@ -8,23 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-RULE_LIMIT = 100_000
-
 
 def interpret(subjects: DataFrame, rules: DataFrame, subject: str, status: str, events: str) -> DataFrame:
     """(subject, label, confidence, rule_id, candidates): the label of the matching rule of the highest priority.
 
     rules: rule_id, priority, status_codes, any_events, all_events, label, confidence; an empty array asks
     nothing. Rules of the top priority that disagree in label give UNKNOWN. Subjects without a match give NONE.
-    Rules are a dimension of checked size; they are joined on the status code where they name one.
+    A rule is found by one of its conditions: each status code it names, else each of its any-events, else the first
+    of its all-events; so rules and subjects are joined on equal keys, and a rule without conditions has a key of all.
     """
-    if rules.count() > RULE_LIMIT:
-        raise ValueError(f"more than {RULE_LIMIT} rules")
-    coded = rules.withColumn("__code", F.explode_outer(F.when(F.size("status_codes") > 0, F.col("status_codes"))))
-    exact, free = coded.where("__code is not null"), coded.where("__code is null")
-    asked = subjects.select(F.col(subject), F.col(status).alias("__status"), F.col(events).alias("__events"))
-    fits = ((F.size("any_events") == 0) | F.arrays_overlap("any_events", "__events")) & (F.size(F.array_except("all_events", "__events")) == 0)
-    matched = asked.join(F.broadcast(exact), F.col("__status") == F.col("__code")).where(fits).unionByName(asked.join(F.broadcast(free), F.lit(True)).where(fits))
+    one = F.when(F.size("status_codes") > 0, F.transform("status_codes", lambda c: F.concat(F.lit("s"), c)))
+    one = one.when(F.size("any_events") > 0, F.transform("any_events", lambda e: F.concat(F.lit("e"), e)))
+    one = one.when(F.size("all_events") > 0, F.array(F.concat(F.lit("e"), F.get("all_events", F.lit(0))))).otherwise(F.array(F.lit("*")))
+    keyed = rules.withColumn("__key", F.explode(F.array_distinct(one)))
+    asked = subjects.select(F.col(subject), F.col(status).alias("__status"), F.coalesce(F.col(events), F.array().cast("array<string>")).alias("__events"))
+    keys = F.array_compact(F.concat(F.array(F.lit("*"), F.concat(F.lit("s"), F.col("__status"))), F.transform(F.array_distinct("__events"), lambda e: F.concat(F.lit("e"), e))))
+    coded = (F.size("status_codes") == 0) | F.coalesce(F.array_contains("status_codes", F.col("__status")), F.lit(False))
+    fits = coded & ((F.size("any_events") == 0) | F.arrays_overlap("any_events", "__events")) & (F.size(F.array_except("all_events", "__events")) == 0)
+    matched = asked.withColumn("__key", F.explode(keys)).join(keyed, "__key").where(fits).dropDuplicates([subject, "rule_id"])
     best = matched.groupBy(subject).agg(F.max("priority").alias("__top"), F.count("*").alias("candidates"))
     top = matched.join(best, subject).where(F.col("priority") == F.col("__top"))
     label = F.when(F.count_distinct("label") > 1, F.lit("UNKNOWN")).otherwise(F.max("label"))

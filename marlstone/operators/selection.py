@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 def page_with_total(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0) -> DataFrame:
     """A page of 1 to 500 rows with the total of all rows beside it; the total is a count of its own, not a window over all rows."""
-    total = df.agg(F.count("*").alias("total"))
-    return df.orderBy(*order).offset(max(0, offset)).limit(min(500, max(1, limit))).crossJoin(F.broadcast(total))  # the total is one row
+    total = df.agg(F.count("*")).scalar()
+    return df.orderBy(*order).offset(max(0, offset)).limit(min(500, max(1, limit))).withColumn("total", total)
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

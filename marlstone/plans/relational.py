@@ -373,10 +373,9 @@ def deadline_schedule(spark, d):
 def urgency_buckets(spark, d):
     """B-31: day differences in buckets."""
     rows = _orders(spark, d).select(F.col("o_orderdate").cast("date").alias("day"))
-    day = rows.agg(F.date_sub(F.max("day"), 365).alias("today"))
-    n = F.datediff("day", "today")
+    n = F.datediff("day", rows.agg(F.date_sub(F.max("day"), 365)).scalar())
     urgency = rules.ladder([(n < 0, "PAST"), (n <= 7, "WEEK"), (n <= 30, "MONTH"), (n <= 90, "QUARTER")], "LATER")
-    return rows.crossJoin(F.broadcast(day)).groupBy(urgency.alias("urgency")).agg(F.count("*").alias("orders"))  # the day is one row
+    return rows.select(urgency.alias("urgency")).groupBy("urgency").agg(F.count("*").alias("orders"))
 
 
 @query("""WITH u AS (SELECT user_id, arg_max(event_type, event_id) AS st, list(DISTINCT event_type) AS ev FROM events GROUP BY 1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.versioning import latest_by
@@ -20,11 +21,9 @@ def register(known: DataFrame, found: DataFrame) -> DataFrame:
     known: sha256, file_name, path, file_size, package_sequence, status. Only the new files are numbered, in one small window.
     """
     fresh = found.join(known.select("sha256"), "sha256", "left_anti").dropDuplicates(["sha256"])
-    top = known.agg(F.coalesce(F.max("package_sequence"), F.lit(0)).alias("top"))
-    from pyspark.sql import Window as W
-
-    numbered = fresh.withColumn("n", F.row_number().over(W.orderBy("file_name", "sha256"))).crossJoin(F.broadcast(top))  # top is one row
-    added = numbered.select("sha256", "file_name", "path", "file_size", (F.col("top") + F.col("n")).cast("bigint").alias("package_sequence"), F.lit("REGISTERED").alias("status"))
+    top = known.agg(F.coalesce(F.max("package_sequence"), F.lit(0))).scalar()
+    numbered = fresh.withColumn("n", F.row_number().over(W.orderBy("file_name", "sha256")))
+    added = numbered.select("sha256", "file_name", "path", "file_size", (top + F.col("n")).cast("bigint").alias("package_sequence"), F.lit("REGISTERED").alias("status"))
     seen = found.groupBy("sha256").agg(F.min(F.struct("file_name", "path", "file_size")).alias("f"))
     kept = known.join(seen, "sha256", "left").select(
         "sha256",
