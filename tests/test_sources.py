@@ -162,3 +162,22 @@ def test_read_functions(spark, data):
     broken = spark.createDataFrame([(None,)], "k string")
     with pytest.raises(Exception, match="without a subject"):
         serve.envelope(broken, "us", "x", "1", ["k"]).collect()
+
+
+def test_layouts(spark, tmp_path):
+    from marlstone.sources import layouts
+
+    goods = "申请号,类,群,序,名称,状态\n10001,25,2501,1,衣,服,0\n10002,9,0901,2,软件,\n"
+    people = "申请号,类,名,外,址,外址\n10001,25,甲,A,乙,B\n"
+    (tmp_path / "2023_1.zip").write_bytes(archive({"商标商品服务信息.csv": goods.encode(), "商标注册人信息.csv": people.encode()}))
+    out = {r["application_number"]: (r["goods_name"], r["goods_status_raw"], r["repair"]) for r in layouts.read_role(spark, str(tmp_path), "goods").collect()}
+    assert out == {"10001": ("衣,服", "0", "MERGED_VARIABLE"), "10002": ("软件", "", "EXACT")}
+    assert layouts.read_role(spark, str(tmp_path), "applicant").first()["owner_name_cn"] == "甲"
+    case = "<r><case-file><serial-number>88991234</serial-number><case-file-header><status-code>630</status-code></case-file-header><case-file-owners><case-file-owner><party-name>A</party-name></case-file-owner></case-file-owners><case-file-event-statements><case-file-event-statement><code>NWAP</code><date>20240101</date></case-file-event-statement></case-file-event-statements></case-file></r>"
+    (tmp_path / "c.xml").write_text(case)
+    tables = layouts.read_cases(spark, str(tmp_path / "c.xml"))
+    assert tables["case"].first()["status_code"] == "630" and tables["owner"].first()["party_name"] == "A" and tables["event"].first()["code"] == "NWAP" and tables["statement"].count() == 0
+    entry = "<r><assignment-entry><assignment><reel-no>1</reel-no><frame-no>2</frame-no></assignment><assignees><assignee><person-or-organization-name>B</person-or-organization-name></assignee></assignees><properties><property><serial-no>88991234</serial-no></property></properties></assignment-entry></r>"
+    (tmp_path / "a.xml").write_text(entry)
+    tables = layouts.read_assignments(spark, str(tmp_path / "a.xml"))
+    assert tuple(tables["assignee"].first())[:2] == ("1", "2") and tables["property"].first()["serial_no"] == "88991234" and tables["assignor"].count() == 0
