@@ -50,8 +50,8 @@ def changes(spark: SparkSession, store: str, after: tuple[int, int] | None = Non
 def case_360(spark: SparkSession, store: str, serials: Sequence[str] | None = None, events_each: int = 5) -> DataFrame:
     """One nested row per serial: owners, the last events, images; of all serials or of some.
 
-    Each family is reduced before it is nested: the owners to their latest versions and at most 50, the events
-    to `events_each`, so a serial of very many rows is never collected whole.
+    Each family is reduced before it is nested: the owners to their latest versions, all of them, with their
+    number in n_owners; the events to `events_each`, so a serial of very many events is never collected whole.
     """
 
     def of(name: str) -> DataFrame:
@@ -59,8 +59,7 @@ def case_360(spark: SparkSession, store: str, serials: Sequence[str] | None = No
         return rows.where(F.col("serial_number").isin(list(serials))) if serials is not None else rows
 
     living = versioning.latest_by(of("us_owner_current").select("serial_number", "owner_key", "party_name", "country", "source_rank", "row_id", "is_deleted"), ["owner_key"], ["source_rank", "row_id"], F.col("is_deleted") == 1)
-    few = living.withColumn("n", F.row_number().over(W.partitionBy("serial_number").orderBy("owner_key"))).where("n <= 50")
-    own = few.groupBy("serial_number").agg(F.array_sort(F.collect_list(F.struct("owner_key", "party_name", "country"))).alias("owners"))
+    own = living.groupBy("serial_number").agg(F.count("*").alias("n_owners"), F.array_sort(F.collect_list(F.struct("owner_key", "party_name", "country"))).alias("owners"))
     place = F.row_number().over(W.partitionBy("serial_number").orderBy(F.desc_nulls_last("event_date"), F.desc("source_rank"), F.desc("row_id")))
     last = of("us_event_history").select("serial_number", "event_date", "event_code", "source_rank", "row_id").withColumn("n", place).where(F.col("n") <= events_each)
     seen = last.groupBy("serial_number").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "event_date", "event_code"))), lambda e: e.dropFields("n")).alias("events"))
@@ -88,7 +87,7 @@ def envelope(rows: DataFrame, domain: str, kind: str, version: str, keys: Sequen
 def _case_360(spark: SparkSession, d: str) -> DataFrame:
     """case_360 of every serial, flattened to counts and its last event."""
     rows = case_360(spark, d)
-    return rows.select("serial_number", F.coalesce(F.size("owners"), F.lit(0)).alias("owners"), F.coalesce(F.size("events"), F.lit(0)).alias("events"), F.element_at("events", 1)["event_code"].alias("last_code"))
+    return rows.select("serial_number", F.coalesce(F.col("n_owners").cast("int"), F.lit(0)).alias("owners"), F.coalesce(F.size("events"), F.lit(0)).alias("events"), F.element_at("events", 1)["event_code"].alias("last_code"))
 
 
 def _feed(spark: SparkSession, d: str) -> DataFrame:

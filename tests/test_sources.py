@@ -181,3 +181,15 @@ def test_layouts(spark, tmp_path):
     (tmp_path / "a.xml").write_text(entry)
     tables = layouts.read_assignments(spark, str(tmp_path / "a.xml"))
     assert tuple(tables["assignee"].first())[:2] == ("1", "2") and tables["property"].first()["serial_no"] == "88991234" and tables["assignor"].count() == 0
+
+
+def test_case_360_holds_all_owners(spark, data, tmp_path):
+    from marlstone.plans import serve
+
+    owners = spark.range(120).selectExpr("'00000001' serial_number", "cast(id as string) owner_key", "'n' party_name", "'US' country", "1L source_rank", "id row_id", "if(id < 3, 1, 0) is_deleted")
+    owners.write.parquet(f"{tmp_path}/us_owner_current.parquet")
+    for name in ("us_event_history", "trademark_asset"):
+        spark.read.parquet(f"{data}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    row = serve.case_360(spark, str(tmp_path)).first()
+    assert len(row["owners"]) == row["n_owners"] == 117
+    assert [tuple(r) for r in serve.QUERIES["case_360"](spark, str(tmp_path)).collect()] == [("00000001", 117, 0, None)]
