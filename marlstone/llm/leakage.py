@@ -4,8 +4,8 @@ Seeds are runs of three words, hashed by a rolling polynomial (Karp-Rabin). Docu
 items' seeds; a document that shares enough of an item's seeds is tiled against it: the longest common
 runs of words are marked first, then the longest of what is left, until none of the least length is left.
 Passages may stand in one piece or several and in any order; the share of the item's words under tiles
-decides. Items that are alike share sentences: of the items below SURE, one is tiled only over words of
-the document that no item of a higher share has taken.
+decides. Each item is judged against the whole document: items that are alike share sentences, and words
+that one of them holds count for the others too.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 SEED = 3  # words of a seed, and of the shortest tile
 SHARE = 0.5  # of an item's words that a document must hold
-SURE = 0.75  # share from which an item is held whatever other items the document holds
 CANDIDATE_SHARE = 0.15  # of an item's seeds that a document must share to be tiled
 SEED_BOUND = 2_000_000  # seeds of all items up to which they are probed inside the workers; more are joined by a shuffle
 _BASE = 1_099_511_628_211
@@ -99,42 +98,28 @@ def tiles(document: np.ndarray, item: np.ndarray, size: int = SEED) -> list[tupl
 
 def coverage(document: list[str], item: list[str]) -> float:
     """The share of the item's words that the document holds under tiles, with single retyped words between tiles."""
-    return _held(codes(document), codes(item), document, item)[0]
+    return _held(codes(document), codes(item), document, item)
 
 
-def _held(a: np.ndarray, b: np.ndarray, document: list[str], item: list[str]) -> tuple[float, np.ndarray]:
-    """The coverage, and which words of the document are under tiles."""
+def _held(a: np.ndarray, b: np.ndarray, document: list[str], item: list[str]) -> float:
     found = sorted(tiles(a, b), key=lambda t: t[0])
-    under = np.zeros(len(document), dtype=bool)
-    total = 0
-    for i, _, n in found:
-        under[i : i + n] = True
-        total += n
+    total = sum(n for _, _, n in found)
     for (i, j, n), (x, y, _) in zip(found, found[1:], strict=False):
         # up to two words between neighbouring tiles that stand in both texts are retyped ones
         gap_a, gap_b = x - i - n, y - j - n
         if 0 < gap_b <= 2 and 0 <= gap_a <= 2:
             total += sum(_retyped(w, document[i + n : x]) for w in item[j + n : y])
-    return total / max(1, len(item)), under
+    return total / max(1, len(item))
 
 
 def held_items(document: list[str], items: list[tuple], share: float = SHARE) -> list[tuple]:
     """(item, coverage) of the items (item, words, codes) that a document holds; equal texts share their result."""
     own = codes(document)
-    first = sorted(((*_held(own, c, document, w), k, i, w, c) for k, (i, w, c) in enumerate(items)), key=lambda x: (-x[0], x[2]))
-    out, taken, texts = [], np.zeros(len(document), dtype=bool), {}
-    for value, under, _, name, words, item_codes in first:
-        if value < share:
-            break
+    out, texts = [], {}
+    for name, words, item_codes in items:
         same = tuple(words)
         if same not in texts:
-            if value < SURE and taken.any():
-                rest = own.copy()
-                rest[taken] = np.arange(int(taken.sum()), dtype=np.uint64)  # matches no word
-                value, under = _held(rest, item_codes, document, words)
-            texts[same] = value
-            if value >= share:
-                taken |= under
+            texts[same] = _held(own, item_codes, document, words)
         if texts[same] >= share:
             out.append((name, round(texts[same], 4)))
     return out

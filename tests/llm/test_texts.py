@@ -74,6 +74,17 @@ def test_leaks(spark):
     assert leakage.leaks(df.where("false"), items).count() == 0 and leakage.leaks(df, items.where("false")).count() == 0
 
 
+def test_items_that_share_sentences_are_held_each():
+    def named(letter, count):
+        return [f"{letter}{k}" for k in range(count)]
+
+    shared = named("s", 8)
+    document = named("a", 12) + shared + named("b", 4)
+    items = [(1, named("a", 12) + shared + named("x", 5)), (2, shared + named("b", 4) + named("y", 8)), (3, shared + named("z", 20))]
+    got = leakage.held_items(document, [(k, w, leakage.codes(w)) for k, w in items])
+    assert got == [(1, 0.8), (2, 0.6)]  # 12 of 20 words of item 2, 8 of which item 1 holds too; 8 of 28 are too few
+
+
 def test_leaks_join_seeds_when_there_are_many(spark, monkeypatch):
     monkeypatch.setattr(leakage, "SEED_BOUND", 0)
     df = spark.createDataFrame([(1, ITEM), (2, "x")], "doc_id bigint, text string")
