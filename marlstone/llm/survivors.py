@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.components import components
 from ..operators.references import micros, uuid_key
@@ -97,17 +102,58 @@ def survivors(records: DataFrame, keys: list[str]) -> DataFrame:
     return front.groupBy(*keys).agg(F.max(policy).alias("p")).select(*keys, (-F.col("p.order")).alias("row_id"))
 
 
+def layered(records: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """The cells of each group of keys with their dominance layer: 1 is the skyline, n + 1 that of what is left without layers 1 to n.
+
+    A cell is a (usable, trust, recency) of a group with `best`, its record of the smallest row_id, and per
+    field `known_<field>`, the smallest row_id that has the field with its value; cells are made before the
+    shuffle. A layer is one more than the deepest layer of the cells that dominate it. Those come earlier in
+    the order of falling trust, usable and recency, so one pass over sorted cells numbers the layers and
+    keeps only the latest recency of each layer of the group at hand, not the group.
+    """
+    known = [F.min(F.when(F.col(f).isNotNull(), F.struct("row_id", F.col(f).alias("value")))).alias(f"known_{f}") for f in fields]
+    cells = records.groupBy(*keys, "usable", "trust", "recency").agg(F.min(F.struct("row_id", *fields)).alias("best"), *known)
+    ordered = cells.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, F.desc("trust"), F.desc("usable"), F.desc("recency"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, useful, every = None, [], []
+        for batch in batches:
+            numbers = []
+            columns = [batch.column(c).to_pylist() for c in ("usable", "recency", *keys)]
+            for use, seen, *key in zip(*columns, strict=True):
+                if key != group:
+                    group, useful, every = key, [], []
+                depth = _deeper(useful if use else every, seen)
+                _raise(every, depth, seen)
+                if use:  # an unusable cell dominates no usable one
+                    _raise(useful, depth, seen)
+                numbers.append(depth + 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int32())], names=[*batch.schema.names, "layer"])
+
+    return ordered.mapInArrow(run, StructType([*cells.schema.fields, StructField("layer", IntegerType())]))
+
+
+def _deeper(latest: list[int], seen: int) -> int:
+    """The number of layers whose latest recency is not below seen; latest falls from layer to layer."""
+    return bisect_right(latest, -seen)
+
+
+def _raise(latest: list[int], depth: int, seen: int) -> None:
+    """Take a cell of layer depth + 1 into the latest recencies, which are kept negative."""
+    if depth == len(latest):
+        latest.append(-seen)
+    else:
+        latest[depth] = min(latest[depth], -seen)
+
+
 def survivor_records(records: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     """The surviving record of each group, each null field filled from the first dominance layer that knows it.
 
-    The layers of a field are those among the records that have the field, so the filling value comes from
-    an undominated one of them, by the same policy. Fields that no record has stay null.
+    Layers are those of all records of the group; of the records of one layer that have the field the first by
+    usable, trust, recency, then smallest row_id fills it. Fields that no record has stay null.
     """
-    out = survivors(records, keys)
-    for field in fields:
-        policy = F.struct("usable", "trust", F.col("best.recency").alias("recency"), F.col("best.order").alias("order"), F.col(f"best.{field}").alias("value"))
-        known = skyline(records.where(F.col(field).isNotNull()), keys, [field]).groupBy(*keys).agg(F.max(policy).alias("p"))
-        own = records.select(*keys, "row_id", F.col(field).alias("own"))
-        out = out.join(own, [*keys, "row_id"], "left").join(known.select(*keys, F.col("p.value").alias("filled")), keys, "left")
-        out = out.withColumn(field, F.coalesce("own", "filled")).drop("own", "filled")
-    return out
+    rank = [(-F.col(c)).alias(c) for c in ("usable", "trust", "recency")]
+    first = F.min(F.when(F.col("usable") == 1, F.struct(*rank, "best"))).alias("first")
+    filled = [F.min(F.when(F.col(f"known_{f}").isNotNull(), F.struct("layer", *rank, f"known_{f}"))).alias(f"filled_{f}") for f in fields]
+    out = layered(records, keys, fields).groupBy(*keys).agg(first, *filled).where("first is not null")
+    return out.select(*keys, F.col("first.best.row_id").alias("row_id"), *[F.coalesce(F.col(f"first.best.{f}"), F.col(f"filled_{f}.known_{f}.value")).alias(f) for f in fields])

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from marlstone.llm.survivors import decided_edges, duplicate_groups, measured, skyline, survivor_records, survivors
+from marlstone.llm.survivors import decided_edges, duplicate_groups, layered, measured, skyline, survivor_records, survivors
 
 A, B, C, D, E = (f"0000000{k}-0000-4000-8000-000000000000" for k in range(1, 6))
 DECISION = "canonical_entity_id string, duplicate_entity_id string, decision_status string, evidence string, created_at timestamp_ntz, group_id string"
@@ -52,6 +52,30 @@ def test_fields_filled_from_later_layers(spark):
     assert survivors(df.where("false"), ["g"]).count() == 0
 
 
+def test_layers_against_peeling(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice("abc"), rng.randrange(2), rng.randrange(-1, 6), rng.randrange(9), k, rng.choice([None, None, "US", "DE", "CN"])) for k in range(240)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    layer, left, n = {}, {r[:4] for r in rows}, 0
+    while left:
+        n += 1
+        front = {c for c in left if not any(s[0] == c[0] and s != c and all(x >= y for x, y in zip(s[1:], c[1:], strict=True)) for s in left)}
+        layer |= dict.fromkeys(front, n)
+        left -= front
+    assert {(r["g"], r["usable"], r["trust"], r["recency"]): r["layer"] for r in layered(df, ["g"], []).collect()} == layer
+    want = []
+    for g in "abc":
+        policy = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], -r[2], -r[3], r[4]))
+        known = min((r for r in policy if r[5]), key=lambda r: layer[r[:4]])
+        want.append((g, policy[0][4], policy[0][5] or known[5]))
+    assert sorted(map(tuple, survivor_records(df, ["g"], ["country_code"]).collect())) == want
+
+
+def test_field_of_an_earlier_layer_goes_before_a_more_trusted_one(spark):
+    df = spark.createDataFrame([("a", 1, 90, 10, 1, None), ("a", 1, 80, 5, 2, None), ("a", 1, 75, 1, 3, "US"), ("a", 1, 70, 9, 4, "CN")], SCHEMA)
+    assert [tuple(r) for r in survivor_records(df, ["g"], ["country_code"]).collect()] == [("a", 1, "CN")]
+
+
 def test_measures(spark):
     rows = [(1, A, "T", "x", 0.95, "2024-01-01", "2024-02-01"), (2, A, "T", "-", 95.0, "2024-01-01", "2023-12-01"), (3, A, "T", "a*b", None, "2024-01-01", None), (4, A, "T", " ", 0.5, None, "2026-06-30"), (5, A, "T", "ok", 0.5, "2024-01-01", "2026-07-01")]
     df = spark.createDataFrame(rows, "row_id bigint, entity_id string, identifier_type string, identifier_value string, confidence_score double, f string, l string")
