@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 PARENTS_PER_RANGE = 200_000
 REFERENCES_PER_SLICE = 150_000
+UUID_FORM = "^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -26,10 +27,12 @@ def uuid_key(text: Column) -> Column:
     Case, outer blanks, braces, parentheses, hyphens and urn:uuid: do not matter. A text that is no UUID is
     kept, trimmed, behind a mark, so that it equals only itself.
     """
-    trimmed = F.trim(F.regexp_replace(text, r"^[\s 　]+|[\s 　]+$", ""))
+    plain = F.lower(F.translate(text, "-", ""))  # of a UUID in its usual form, which most are
+    trimmed = F.trim(F.regexp_replace(text, r"^[\s 　]+|[\s 　]+$", ""))
     bare = F.regexp_replace(F.lower(trimmed), r"^urn:uuid:|[\s{}()\-]", "")
     return (
-        F.when(bare.rlike("^0*$") & trimmed.rlike(r"^[\s{}()0\-]*$"), F.lit(None))
+        F.when(text.rlike(UUID_FORM), F.when(plain != "0" * 32, plain))
+        .when(bare.rlike("^0*$") & trimmed.rlike(r"^[\s{}()0\-]*$"), F.lit(None))
         .when(bare.rlike("^[0-9a-f]{32}$"), bare)
         .otherwise(F.concat(F.lit("~"), trimmed))
     )

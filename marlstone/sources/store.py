@@ -66,27 +66,48 @@ def publish_snapshot(df: DataFrame, path: str, version: int, check: bool = True,
 
 
 def compact(spark: SparkSession, path: str, files: int) -> None:
-    """Rewrites a table into so many files, by way of a shadow that must hold the same rows before it takes the table's place."""
+    """Rewrites a table into so many files, by way of a shadow that must hold the same rows before it takes the table's place.
+
+    A table of publish_snapshot is rewritten as its next version, so that one pointer file makes the change and
+    a reader always finds a table. A plain table is moved by two renames; a run that broke off between them is
+    put right by the next one, which finds the old table beside an empty place.
+    """
+    fs, place, make = _files(spark, path)
+    old = make(f"{path}__old")
+    if fs.exists(place) and (current := current_snapshot(spark, path)) is not None:
+        publish_snapshot(current.repartition(files), path, _versions(fs, place)[-1] + 1)
+        return
+    if fs.exists(old):
+        if not fs.exists(place):
+            fs.rename(old, place)
+        fs.delete(old, True)
     shadow = f"{path}__shadow"
     before = spark.read.parquet(path)
     before.repartition(files).write.mode("overwrite").parquet(shadow)
     if not same_content(before, spark.read.parquet(shadow)):
         raise RuntimeError("the compacted table does not hold the same rows")
-    fs, place, make = _files(spark, path)
-    fs.rename(place, make(f"{path}__old"))
+    fs.rename(place, old)
     fs.rename(make(shadow), place)
-    fs.delete(make(f"{path}__old"), True)
+    fs.delete(old, True)
+
+
+def _versions(files, place) -> list[int]:
+    names = [s.getPath().getName() for s in files.listStatus(place)]
+    return sorted(int(n.removeprefix("pointer-")) for n in names if n.startswith("pointer-"))
 
 
 def store_assets(df: DataFrame, content: str, root: str) -> DataFrame:
     """(sha256, storage_key) of binary rows, each content written once under its hash (sha[:2]/sha[2:4]/sha).
 
-    Written by partitions; a file is completed under another name and then renamed, so a lost executor leaves
-    no half asset. root must be a folder that all executors share.
+    Written by partitions; a file is completed under a name of its own and then takes its place in one step, so
+    a lost executor leaves no half asset, and tasks that write one content at once leave that content. root
+    must be a folder that all executors share.
     """
 
     def run(batches):
         import hashlib
+        import os
+        import uuid
         from pathlib import Path
 
         import pandas as pd
@@ -99,9 +120,9 @@ def store_assets(df: DataFrame, content: str, root: str) -> DataFrame:
                 path = Path(root) / key
                 if not path.exists():
                     path.parent.mkdir(parents=True, exist_ok=True)
-                    part = path.with_name(f"{digest}.{id(data)}.part")
+                    part = path.with_name(f"{digest}.{uuid.uuid4().hex}.part")
                     part.write_bytes(bytes(data))
-                    part.rename(path)
+                    os.replace(part, path)
                 out.append((digest, key))
             yield pd.DataFrame(out, columns=["sha256", "storage_key"])
 

@@ -120,6 +120,26 @@ def test_store(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "out"), header=True, escape='"').first()["y"] == '["a"]'
 
 
+def test_tasks_that_store_one_content_at_once(spark, tmp_path):
+    root = tmp_path / "assets"
+    df = spark.range(0, 800, 1, 8).select(F.lit(bytearray(b"same" * 5000)).alias("c"))
+    assert [r["storage_key"].count("/") for r in store.store_assets(df, "c", str(root)).collect()] == [2]
+    files = [p for p in root.rglob("*") if p.is_file()]
+    assert len(files) == 1 and files[0].read_bytes() == b"same" * 5000
+
+
+def test_compaction_of_snapshots_and_after_a_break(spark, tmp_path):
+    snap = str(tmp_path / "snap")
+    store.publish_snapshot(spark.range(10).repartition(5), snap, 4)
+    store.compact(spark, snap, 1)
+    assert store.current_snapshot(spark, snap).count() == 10 and (tmp_path / "snap" / f"pointer-{5:020d}").exists()
+    flat = tmp_path / "flat"
+    spark.range(7).write.parquet(str(flat))
+    flat.rename(tmp_path / "flat__old")  # a run that broke off between its two renames
+    store.compact(spark, str(flat), 1)
+    assert spark.read.parquet(str(flat)).count() == 7 and not (tmp_path / "flat__old").exists()
+
+
 def test_stream_publishes_like_a_batch(spark, tmp_path):
     source, state, history = (str(tmp_path / n) for n in ("in", "state", "history"))
     schema = "k string, rank int, v string"
