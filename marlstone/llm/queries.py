@@ -96,7 +96,7 @@ QUERIES = {
     "p8_passages": p8_passages,
 }
 
-_P5 = r"""
+_GROUPS = r"""
 WITH RECURSIVE decision AS (
   SELECT lower(canonical_entity_id) AS c, lower(duplicate_entity_id) AS d, decision_status, coalesce(evidence, '') AS evidence,
     created_at = max(created_at) OVER (PARTITION BY lower(canonical_entity_id), lower(duplicate_entity_id)) AS in_force
@@ -104,19 +104,40 @@ WITH RECURSIVE decision AS (
 force AS (SELECT * FROM decision WHERE in_force AND decision_status <> 'BLOCKED'),
 pair AS (
   SELECT c AS a, d AS b FROM force
-  UNION SELECT c, lower(unnest(regexp_extract_all(regexp_extract(evidence, '(?is)member_?ids[\\"''\s]*[:=]\s*[\[(]([^\])]*)', 1),
+  UNION SELECT c, lower(unnest(regexp_extract_all(regexp_extract(evidence, '(?is)member(s|_?ids)[\\"''\s]*[:=][\\"''\s\[(]*([^\])}:=]*)', 2),
     '[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}'))) FROM force),
 edge AS (SELECT a, b FROM pair UNION SELECT b, a FROM pair UNION SELECT a, a FROM pair UNION SELECT b, b FROM pair),
 reach(node, root) AS (SELECT a, a FROM edge UNION SELECT e.b, r.root FROM reach r JOIN edge e ON e.a = r.node),
-member AS (SELECT node AS entity_id, min(root) AS group_id FROM reach GROUP BY 1),
+member AS (SELECT node AS entity_id, min(root) AS group_id FROM reach GROUP BY 1)"""
+_KNOWN = "CASE WHEN trim({0}) <> '' AND lower(trim({0})) NOT IN ('-', '--', '无', 'n/a', '—', '暂无', 'none', 'null', '/', '不详') AND NOT contains({0}, '*') THEN {0} END"
+_TRUST = "round(CASE WHEN confidence_score > 1 THEN confidence_score / 100 ELSE confidence_score END, 4)"
+_SEEN = "CASE WHEN last_seen_at < first_seen_at OR last_seen_at >= TIMESTAMP '2026-07-01' THEN NULL ELSE last_seen_at END"
+_P5 = f"""{_GROUPS},
 scored AS (
-  SELECT m.group_id, i.identifier_type, i.row_id, round(CASE WHEN confidence_score > 1 THEN confidence_score / 100 ELSE confidence_score END, 4) AS trust,
-    CASE WHEN last_seen_at < first_seen_at OR last_seen_at >= TIMESTAMP '2026-07-01' THEN NULL ELSE last_seen_at END AS seen
+  SELECT m.group_id, i.identifier_type, i.row_id, {_TRUST} AS trust, {_SEEN} AS seen
   FROM entity_identifier i JOIN member m ON lower(i.entity_id) = m.entity_id
-  WHERE trim(i.identifier_value) <> '' AND lower(trim(i.identifier_value)) NOT IN ('-', '--', '无', 'n/a', '—', '暂无', 'none', 'null', '/', '不详')
-    AND NOT contains(i.identifier_value, '*'))
+  WHERE {_KNOWN.format("i.identifier_value")} IS NOT NULL)
 SELECT group_id, identifier_type, row_id FROM scored
 QUALIFY row_number() OVER (PARTITION BY group_id, identifier_type ORDER BY trust DESC NULLS LAST, seen DESC NULLS LAST, row_id) = 1
 """
+_FIELDS = ("identifier_value", "normalized_value", "country_code", "source")
+# layers by the longest chain of dominating cells; a null measure is the least
+_P5_SURVIVORS = f"""{_GROUPS},
+known AS (
+  SELECT m.group_id, i.identifier_type, i.row_id, coalesce({_TRUST}, -1) AS trust, coalesce({_SEEN}, TIMESTAMP '0001-01-01') AS seen, {", ".join(f"{_KNOWN.format('i.' + f)} AS {f}" for f in _FIELDS)}
+  FROM entity_identifier i JOIN member m ON lower(i.entity_id) = m.entity_id),
+record AS (SELECT *, CASE WHEN identifier_value IS NULL THEN 0 ELSE 1 + {" + ".join(f"({f} IS NOT NULL)::int" for f in _FIELDS)} END AS complete FROM known),
+cell AS (SELECT DISTINCT group_id, identifier_type, complete, trust, seen FROM record),
+below AS (
+  SELECT a AS upper, b AS lower FROM cell a JOIN cell b ON a.group_id = b.group_id AND a.identifier_type = b.identifier_type
+    AND a.complete >= b.complete AND a.trust >= b.trust AND a.seen >= b.seen AND a <> b),
+depth(cell, n) AS (SELECT cell, 1 FROM cell UNION SELECT b.lower, n + 1 FROM depth d JOIN below b ON d.cell = b.upper),
+layer AS (SELECT cell.group_id AS group_id, cell.identifier_type AS identifier_type, cell.complete AS complete, cell.trust AS trust, cell.seen AS seen, max(n) AS layer FROM depth GROUP BY cell),
+placed AS (SELECT * FROM record JOIN layer USING (group_id, identifier_type, complete, trust, seen)),
+best AS (SELECT * FROM placed WHERE complete > 0 QUALIFY row_number() OVER (PARTITION BY group_id, identifier_type ORDER BY trust DESC, seen DESC, row_id) = 1),
+filled AS (
+  SELECT group_id, identifier_type, {", ".join(f"arg_min({f}, (layer, complete = 0, -trust, -epoch_us(seen), row_id)) FILTER ({f} IS NOT NULL) AS {f}" for f in _FIELDS)} FROM placed GROUP BY ALL)
+SELECT b.group_id, b.identifier_type, b.row_id, {", ".join(f"coalesce(b.{f}, f.{f}) AS {f}" for f in _FIELDS)} FROM best b JOIN filled f USING (group_id, identifier_type)
+"""
 
-ORACLE = {"p5_found": _P5}
+ORACLE = {"p5_found": _P5, "p5_survivors": _P5_SURVIVORS}

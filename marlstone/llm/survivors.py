@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,19 +14,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.components import components
-from ..operators.references import micros, uuid_key
+from ..operators.references import UUID_FORM, micros, uuid_key
 
 # Marks that stand where a value is missing.
 NOTHING = ("-", "--", "---", "—", "——", "–", "/", "\\", ".", "?", "n/a", "na", "n.a.", "none", "null", "nil", "nan", "unknown", "tbd", "无", "暂无", "没有", "未知", "不详", "空")
+_ZERO = "00000000-0000-0000-0000-000000000000"
 _UUID = r"[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}"
-_MEMBERS = r"""(?is)member_?ids[\\"'\s]*[:=]\s*[\[(]([^\])]*)"""
+# the list behind member_ids, memberIds or members: in brackets, or one text with the ids parted by a mark or blank
+_MEMBERS = r"""(?is)member(?:s|_?ids)[\\"'\s]*[:=][\\"'\s\[(]*([^\])}:=]*)"""
 
 
 def plain_uuid(text: Column) -> Column:
     """The UUID in lower case with hyphens; another text as it is behind a mark; null for no reference."""
     key = uuid_key(text)
-    parts = [F.substring(key, at, size) for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.when(key.startswith("~"), key).when(key.isNotNull(), F.concat_ws("-", *parts))
+    other = F.regexp_replace(key, "^([0-9a-f]{8})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{12})$", "$1-$2-$3-$4-$5")
+    return F.when(text.rlike(UUID_FORM) & (text != _ZERO), F.lower(text)).otherwise(other)
 
 
 def usable(value: Column) -> Column:
@@ -38,7 +42,8 @@ def decided_edges(decisions: DataFrame) -> DataFrame:
 
     In force is what has the latest created_at of its pair (all of them if several have it; a null time is
     earliest). BLOCKED gives no edge. Evidence may be JSON, JSON in a string, a dictionary as printed, cut
-    off or null: whole ids of its member list count, an id that was cut does not.
+    off or null, and its member list an array or one text of ids: whole ids of the list count, an id that was
+    cut does not.
     """
     rows = decisions.select(
         plain_uuid(F.col("canonical_entity_id")).alias("canonical"), plain_uuid(F.col("duplicate_entity_id")).alias("duplicate"), "decision_status", "evidence", F.coalesce(micros(F.col("created_at")), F.lit(-(2**62))).alias("at")
@@ -105,28 +110,31 @@ def survivors(records: DataFrame, keys: list[str]) -> DataFrame:
 def layered(records: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     """The cells of each group of keys with their dominance layer: 1 is the skyline, n + 1 that of what is left without layers 1 to n.
 
-    A cell is a (usable, trust, recency) of a group with `best`, its record of the smallest row_id, and per
-    field `known_<field>`, the smallest row_id that has the field with its value; cells are made before the
-    shuffle. A layer is one more than the deepest layer of the cells that dominate it. Those come earlier in
-    the order of falling trust, usable and recency, so one pass over sorted cells numbers the layers and
-    keeps only the latest recency of each layer of the group at hand, not the group.
+    A cell is a (complete, trust, recency) of a group, larger being better: `complete` counts the fields that a
+    record knows, and is 0 without a usable value. Beside it stand `usable`, `best`, its record of the smallest
+    row_id, and per field `known_<field>`, the smallest row_id that has the field with its value; cells are made
+    before the shuffle. A layer is one more than the deepest layer of the cells that dominate it. Those come
+    earlier in the order of falling trust, completeness and recency, so one pass over sorted cells numbers the
+    layers and keeps only the latest recency of each layer and completeness of the group at hand, not the group.
     """
     known = [F.min(F.when(F.col(f).isNotNull(), F.struct("row_id", F.col(f).alias("value")))).alias(f"known_{f}") for f in fields]
-    cells = records.groupBy(*keys, "usable", "trust", "recency").agg(F.min(F.struct("row_id", *fields)).alias("best"), *known)
-    ordered = cells.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, F.desc("trust"), F.desc("usable"), F.desc("recency"))
+    count = reduce(lambda n, f: n + F.col(f).isNotNull().cast("int"), fields, F.lit(1))
+    rated = records.withColumn("complete", F.when(F.col("usable") == 1, count).otherwise(0))
+    cells = rated.groupBy(*keys, "complete", "trust", "recency").agg(F.max("usable").alias("usable"), F.min(F.struct("row_id", *fields)).alias("best"), *known)
+    ordered = cells.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, F.desc("trust"), F.desc("complete"), F.desc("recency"))
+    levels = len(fields) + 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, useful, every = None, [], []
+        group, latest = None, []
         for batch in batches:
             numbers = []
-            columns = [batch.column(c).to_pylist() for c in ("usable", "recency", *keys)]
-            for use, seen, *key in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("complete", "recency", *keys)]
+            for complete, seen, *key in zip(*columns, strict=True):
                 if key != group:
-                    group, useful, every = key, [], []
-                depth = _deeper(useful if use else every, seen)
-                _raise(every, depth, seen)
-                if use:  # an unusable cell dominates no usable one
-                    _raise(useful, depth, seen)
+                    group, latest = key, [[] for _ in range(levels)]
+                depth = _deeper(latest[complete], seen)
+                for level in range(complete + 1):  # a cell dominates none that is more complete
+                    _raise(latest[level], depth, seen)
                 numbers.append(depth + 1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int32())], names=[*batch.schema.names, "layer"])
 
@@ -139,7 +147,7 @@ def _deeper(latest: list[int], seen: int) -> int:
 
 
 def _raise(latest: list[int], depth: int, seen: int) -> None:
-    """Take a cell of layer depth + 1 into the latest recencies, which are kept negative."""
+    """Take a cell of layer depth + 1 into the latest recencies, which are kept negative; cells that dominate it are in the layers before."""
     if depth == len(latest):
         latest.append(-seen)
     else:

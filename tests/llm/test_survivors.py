@@ -18,6 +18,7 @@ def test_latest_decision_and_shapes_of_evidence(spark):
     rows = [
         (A, B, "APPLIED", "{}", "2024-01-01 00:00:00", "x"), (A, B, "BLOCKED", "{}", "2024-02-01 00:00:00", "x"),
         (B, C, "CANDIDATE", None, None, "x"), (C, D.upper(), "APPLIED", '"{\\"member_ids\\": [\\"%s\\", \\"%s\\"]}"' % (C, E.upper()), "2024-01-01 00:00:00", "x"),
+        (A, A, "APPLIED", '{"members": ["%s", "%s"], "size": 2}' % (A, B), "2023-01-01 00:00:00", "x"),
         (A, A, "APPLIED", '{"memberIds": ["%s", "0000' % A, "2024-01-01 00:00:00", "x"), (None, None, "APPLIED", "broken", None, "x"),
     ]
     df = decisions(spark, rows)
@@ -52,28 +53,45 @@ def test_fields_filled_from_later_layers(spark):
     assert survivors(df.where("false"), ["g"]).count() == 0
 
 
+def test_member_lists_as_arrays_and_as_texts(spark):
+    lists = ['["%s", "%s"]' % (B, C), '"%s,%s"' % (B, C), '"%s;%s"' % (B, C), '"%s %s"' % (B, C), "['%s', '%s']" % (B, C), '[\\"%s\\", \\"%s\\"]' % (B, C), '["%s", "%s", "0000' % (B, C)]
+    for name in ("member_ids", "memberIds", "MEMBER_IDS", "members"):
+        for text in lists:
+            df = decisions(spark, [(A, A, "APPLIED", '{"size": 2, "%s": %s,\n "score": [1], "seen_by": "%s"}' % (name, text, D), "2024-01-01 00:00:00", "x")])
+            assert {frozenset(r) for r in decided_edges(df).collect()} == {frozenset((A, B)), frozenset((A, C))}, (name, text)
+
+
 def test_layers_against_peeling(spark):
     rng = random.Random(7)
     rows = [(rng.choice("abc"), rng.randrange(2), rng.randrange(-1, 6), rng.randrange(9), k, rng.choice([None, None, "US", "DE", "CN"])) for k in range(240)]
     df = spark.createDataFrame(rows, SCHEMA)
-    layer, left, n = {}, {r[:4] for r in rows}, 0
+    cell = {r: (r[0], r[1] * (1 + (r[5] is not None)), r[2], r[3]) for r in rows}
+    layer, left, n = {}, set(cell.values()), 0
     while left:
         n += 1
         front = {c for c in left if not any(s[0] == c[0] and s != c and all(x >= y for x, y in zip(s[1:], c[1:], strict=True)) for s in left)}
         layer |= dict.fromkeys(front, n)
         left -= front
-    assert {(r["g"], r["usable"], r["trust"], r["recency"]): r["layer"] for r in layered(df, ["g"], []).collect()} == layer
+    assert {(r["g"], r["complete"], r["trust"], r["recency"]): r["layer"] for r in layered(df, ["g"], ["country_code"]).collect()} == layer
     want = []
     for g in "abc":
         policy = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], -r[2], -r[3], r[4]))
-        known = min((r for r in policy if r[5]), key=lambda r: layer[r[:4]])
+        known = min((r for r in policy if r[5]), key=lambda r: layer[cell[r]])
         want.append((g, policy[0][4], policy[0][5] or known[5]))
     assert sorted(map(tuple, survivor_records(df, ["g"], ["country_code"]).collect())) == want
 
 
 def test_field_of_an_earlier_layer_goes_before_a_more_trusted_one(spark):
-    df = spark.createDataFrame([("a", 1, 90, 10, 1, None), ("a", 1, 80, 5, 2, None), ("a", 1, 75, 1, 3, "US"), ("a", 1, 70, 9, 4, "CN")], SCHEMA)
-    assert [tuple(r) for r in survivor_records(df, ["g"], ["country_code"]).collect()] == [("a", 1, "CN")]
+    # equally complete: 1 knows the source, 3 and 4 the country
+    rows = [("a", 1, 90, 10, 1, None, "s"), ("a", 1, 80, 5, 2, None, "t"), ("a", 1, 75, 1, 3, "US", None), ("a", 1, 70, 9, 4, "CN", None)]
+    df = spark.createDataFrame(rows, SCHEMA + ", source string")
+    assert [tuple(r) for r in survivor_records(df, ["g"], ["country_code", "source"]).collect()] == [("a", 1, "CN", "s")]
+
+
+def test_a_less_complete_record_dominates_no_fuller_one(spark):
+    df = spark.createDataFrame([("a", 1, 90, 10, 1, None), ("a", 1, 75, 1, 3, "US"), ("a", 1, 70, 9, 4, "CN")], SCHEMA)
+    assert {r["best"]["row_id"]: r["layer"] for r in layered(df, ["g"], ["country_code"]).collect()} == {1: 1, 3: 1, 4: 1}
+    assert [tuple(r) for r in survivor_records(df, ["g"], ["country_code"]).collect()] == [("a", 1, "US")]
 
 
 def test_measures(spark):
