@@ -1,8 +1,9 @@
 """Evaluation texts inside training texts, by greedy string tiling.
 
 Seeds are runs of three words, hashed by a rolling polynomial (Karp-Rabin). Documents are probed with the
-items' seeds; a document that shares enough of an item's seeds is tiled against it: the longest common
-runs of words are marked first, then the longest of what is left, until none of the least length is left.
+items' seeds; a document that shares as many of an item's seeds as the asked coverage cannot do without is
+tiled against it: the longest common runs of words are marked first, then the longest of what is left,
+until none of the least length is left.
 Passages may stand in one piece or several and in any order; the share of the item's words under tiles
 decides. Each item is judged against the whole document: items that are alike share sentences, and words
 that one of them holds count for the others too.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 SEED = 3  # words of a seed, and of the shortest tile
 SHARE = 0.5  # of an item's words that a document must hold
-CANDIDATE_SHARE = 0.15  # of an item's seeds that a document must share to be tiled
+REACH = 2  # words between two tiles that may be retyped ones
 SEED_BOUND = 2_000_000  # seeds of all items up to which they are probed inside the workers; more are joined by a shuffle
 _BASE = 1_099_511_628_211
 _MASK = (1 << 64) - 1
@@ -105,13 +106,22 @@ def _held(a: np.ndarray, b: np.ndarray, document: list[str], item: list[str]) ->
     found = sorted(tiles(a, b), key=lambda t: t[0])
     total = sum(n for _, _, n in found)
     for (i, j, n), (x, y, _) in zip(found, found[1:], strict=False):
-        # up to two words between neighbouring tiles that stand in both texts are retyped ones
+        # up to REACH words between neighbouring tiles that stand in both texts are retyped ones
         gap_a, gap_b = x - i - n, y - j - n
-        if 0 < gap_b <= 2 and 0 <= gap_a <= 2:
+        if 0 < gap_b <= REACH and 0 <= gap_a <= REACH:
             total += sum(_retyped(w, document[i + n : x]) for w in item[j + n : y])
     return total / max(1, len(item))
 
 
+def least_seeds(words: int, share: float = SHARE) -> float:
+    """The places of an item of so many words that must begin a seed of a document that covers the share.
+
+    A tile of n words has n - SEED + 1 of them, so s of them are at most s tiles of SEED words with REACH
+    retyped words between each two: they cover no more than s * (SEED + REACH) - REACH words.
+    """
+    return (share * words + REACH) / (SEED + REACH)
+
+
 def held_items(document: list[str], items: list[tuple], share: float = SHARE) -> list[tuple]:
     """(item, coverage) of the items (item, words, codes) that a document holds; equal texts share their result."""
     own = codes(document)
@@ -140,40 +150,50 @@ def _retyped(word: str, others: list[str]) -> bool:
 
 
 def _seed_rows(texts: DataFrame, key: str, text: str, wanted: np.ndarray | None) -> DataFrame:
-    """(key, seed) of each text, distinct; only the wanted seeds where they are given."""
+    """(k, seed, places, words) of each text, a row per distinct seed; only the wanted seeds where they are given.
+
+    places: how often the seed stands in the text; words: the text's number of words.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(wanted)  # None or at most SEED_BOUND numbers
     kind = dict(texts.dtypes)[key]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         want = shared.value
         for frame in batches:
-            keys, seeds = [], []
+            keys, seeds, places, sizes = [], [], [], []
             for k, t in zip(frame["k"], frame["t"], strict=True):
-                own = np.unique(rolling(codes(split_words(t))).astype(np.int64))
+                words = split_words(t)
+                own, times = np.unique(rolling(codes(words)).astype(np.int64), return_counts=True)
                 if want is not None and len(want):
-                    place = np.minimum(np.searchsorted(want, own), len(want) - 1)
-                    own = own[want[place] == own]
+                    kept = want[np.minimum(np.searchsorted(want, own), len(want) - 1)] == own
+                    own, times = own[kept], times[kept]
                 keys.append(np.repeat(np.array([k]), len(own)))
                 seeds.append(own)
-            yield pd.DataFrame({"k": np.concatenate(keys) if keys else [], "seed": np.concatenate(seeds) if seeds else []})
+                places.append(times)
+                sizes.append(np.repeat(len(words), len(own)))
+            joined = [np.concatenate(x) if x else [] for x in (keys, seeds, places, sizes)]
+            yield pd.DataFrame(dict(zip(("k", "seed", "places", "words"), joined, strict=True)))
 
     rows = texts.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k is not null and t is not null")
-    return rows.mapInPandas(run, f"k {kind}, seed bigint")
+    return rows.mapInPandas(run, f"k {kind}, seed bigint, places int, words int")
 
 
 def leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", share: float = SHARE) -> DataFrame:
     """(doc, item, coverage) of each document that holds at least share of an item's words.
 
     Null, empty and wordless texts of either side hold and leak nothing; copies of a document are judged one
-    by one; items shorter than a seed are no items. Only rows that carry a seed of an item leave the probing
-    pass, counts are aggregated before the shuffle, and a document travels only with its candidates.
+    by one; items of one or two words are shorter than a seed and are no items (any text holds such words). Only
+    rows that carry a seed of an item leave the probing pass, counts are aggregated before the shuffle, and a
+    document travels only with its candidates: those that share least_seeds of the item, which no document of
+    the asked coverage falls short of. Seeds up to SEED_BOUND are broadcast, more are joined; the rows are the same.
     """
-    item_seeds = _seed_rows(items, item, text, None).select(F.col("k").alias("item"), "seed")
-    count = item_seeds.count()
-    wanted = np.array(sorted(r[0] for r in item_seeds.select("seed").distinct().collect()), dtype=np.int64) if count <= SEED_BOUND else None
-    sizes = item_seeds.groupBy("item").agg(F.count("*").alias("size"))
-    shared = _seed_rows(documents, doc, text, wanted).join(item_seeds, "seed").groupBy("k", "item").agg(F.count("*").alias("common"))
-    pairs = shared.join(sizes, "item").where(F.col("common") >= F.greatest(F.lit(2), F.lit(CANDIDATE_SHARE * share / SHARE) * F.col("size"))).select("k", "item")
+    item_seeds = _seed_rows(items, item, text, None).withColumnRenamed("k", "item")
+    distinct = item_seeds.select("seed").distinct()
+    count = distinct.count()
+    wanted = np.sort(distinct.toArrow()["seed"].to_numpy()) if count <= SEED_BOUND else None
+    least = (F.lit(share) * F.col("words") + REACH) / (SEED + REACH)
+    shared = _seed_rows(documents, doc, text, wanted).select("k", "seed").join(item_seeds, "seed").groupBy("k", "item", "words").agg(F.sum("places").alias("common"))
+    pairs = shared.where(F.col("common") >= least).select("k", "item")
     right = items.select(F.col(item).alias("item"), F.col(text).alias("passage"))
     asked = pairs.join(right, "item").groupBy("k").agg(F.collect_list(F.struct("item", "passage")).alias("items"))
     joined = documents.select(F.col(doc).alias("k"), F.col(text).alias("document")).join(asked, "k")

@@ -85,6 +85,29 @@ def test_items_that_share_sentences_are_held_each():
     assert got == [(1, 0.8), (2, 0.6)]  # 12 of 20 words of item 2, 8 of which item 1 holds too; 8 of 28 are too few
 
 
+def test_short_and_broken_quotations_reach_the_tiling(spark):
+    long = [f"word{k}" for k in range(40)]
+    # three-word tiles with two retyped words between: 23 of 40 words under 5 seeds
+    broken = []
+    for k in range(0, 25, 5):
+        broken += long[k : k + 3] + ["x" + long[k + 3][1:], long[k + 4] + "s"]
+    items = spark.createDataFrame([(1, "alpha beta gamma"), (2, "one two three four five six"), (3, " ".join(long)), (4, "echo echo echo echo echo echo echo echo")], "item_id bigint, text string")
+    docs = [(1, "some alpha beta gamma text"), (2, "here one two three stand"), (3, " ".join(broken)), (4, "nothing of it"), (5, "echo echo echo echo")]
+    got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in leakage.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), items).collect()}
+    assert got == {(1, 1): 1.0, (2, 2): 0.5, (3, 3): 0.575, (5, 4): 0.5}
+
+
+def test_no_document_of_the_asked_coverage_is_below_the_least_seeds():
+    rng = random.Random(11)
+    for _ in range(300):
+        item = [rng.choice("pqrst") + "word" for _ in range(rng.randrange(3, 40))]
+        document = [w if rng.random() < 0.7 else rng.choice("pqrst") + "words" for w in item]
+        if leakage.coverage(document, item) >= leakage.SHARE:
+            seeds = set(leakage.rolling(leakage.codes(document)).tolist())
+            places = sum(s in seeds for s in leakage.rolling(leakage.codes(item)).tolist())
+            assert places >= leakage.least_seeds(len(item))
+
+
 def test_leaks_join_seeds_when_there_are_many(spark, monkeypatch):
     monkeypatch.setattr(leakage, "SEED_BOUND", 0)
     df = spark.createDataFrame([(1, ITEM), (2, "x")], "doc_id bigint, text string")
