@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marlstone.llm import bpe, language, leakage
 from marlstone.llm.queries import VOCABULARY
 
-EXTREME = [None, "", "  \n\n x  \t", "it's we'll I'd 'S naïve 　a\x85b 😀é́ ١٢٣ ½ ​", "a" * 1500, "日本語のテキスト" * 40, "\x1c\x1d a <|endoftext|>", "word " * 20_000]
+EXTREME = [None, "", "  \n\n x  \t", "it's we'll I'd 'S naïve 　a\x85b 😀é́ ١٢٣ ½ ​", "a" * 1500, "日本語のテキスト" * 40, "\x1c\x1d a <|endoftext|>", "word " * 20_000, "の魔龍契士裏覚醒ゴンの村ーン中文ab中文 龍の" * 9, "申请人没有在规定的期限内答复，本案因此结案" * 1600, "|a | b||1 2|"]
 
 
 @pytest.mark.skipif(not os.path.exists(VOCABULARY), reason="no vocabulary file")
