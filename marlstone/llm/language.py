@@ -1,6 +1,7 @@
 """Language of each document and of each passage of mixed text: scripts, per-word scores and Viterbi spans.
 
-Word scores are fitted on a bounded sample of labelled documents: words are counted by the label, the
+The scripts of a text narrow its candidates: a script of one language needs no label, Latin words leave the
+languages that the sample knows. Word scores are fitted on a bounded sample of labelled documents: words are counted by the label, the
 sample's sentences are classified with these counts and counted again by their own class, so wrong
 labels and foreign passages wash out. A text's words are then labelled by Viterbi, where changing the
 language costs much inside a sentence and little between sentences.
@@ -13,6 +14,7 @@ import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -43,15 +45,28 @@ NOTATIONS = {
     "no": "nor nob norwegian norsk",
     "hu": "hun hungarian magyar",
     "ro": "ron rum romanian română",
+    "he": "heb hebrew עברית",
+    "th": "tha thai ไทย",
 }
 BY_NOTATION = {word: code for code, words in NOTATIONS.items() for word in (code, *words.split())}
-SCRIPTS = {"zh": "han", "ja": "kana", "ko": "hangul", "ru": "cyrillic", "ar": "arabic", "el": "greek"}
+# Scripts that name their language whatever the sample's labels, by their ranges. Latin words are scored one by one.
+SCRIPTS = {
+    "ja": r"\u3040-\u30ff\u31f0-\u31ff\uff66-\uff9f",
+    "zh": r"\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\u3005",
+    "ko": r"\uac00-\ud7af\u1100-\u11ff",
+    "ru": r"\u0400-\u052f",
+    "el": r"\u0370-\u03ff\u1f00-\u1fff",
+    "ar": r"\u0600-\u06ff\u0750-\u077f",
+    "he": r"\u0590-\u05ff",
+    "th": r"\u0e00-\u0e7f",
+}
 
 SAMPLE = 6000  # labelled documents that the word scores are fitted on, at most
 INSIDE, BETWEEN = 9.0, 2.5  # cost of a change of language inside a sentence, between sentences
 EVIDENCE = 4.0  # log odds against the next language that a whole sentence must have
 MIN_WORDS = 3
 BATCH_WORDS = 400_000
+LOOK_AHEAD = 400  # words of the text in which the next word of a sentence is looked for
 
 _TAG = re.compile(r"<[^<>]{1,200}>")
 _LINK = re.compile(r"\S+@\S+|https?://\S+|www\.\S+")
@@ -61,10 +76,13 @@ _QUOTE = re.compile(r"«[^«»]*»|“[^“”]*”|„[^„“”]*[“”]|‹
 _TABLE = re.compile(r"\t|\S\s*\|\s*\S|\S {2,}\S+ {2,}\S| ?; ?\d+ ?; ?")
 _END = re.compile(r"(?<=[.!?…:])(?<![^A-Za-z.][A-Z]\.)[\"'”’»)]*\s+(?=[\"'“‘«(¿¡]*[^\W_])|(?<=[。！？])|\n{2,}")
 _ENDED = re.compile(r"[.!?。！？…][\"'”’»)\]]*$")
-_WORD = re.compile(r"[぀-ヿㇰ-ㇿｦ-ﾟ]+|[㐀-䶿一-鿿豈-﫿々]+|[가-힯]+|[^\W\d_぀-ヿ㐀-䶿一-鿿豈-﫿가-힯]+(?:['’][a-zà-ÿ]+)?")
+_WORD = re.compile(r"[぀-ヿㇰ-ㇿｦ-ﾟ]+|[㐀-䶿一-鿿豈-﫿々]+|[가-힯]+|[฀-๿]+|[^\W\d_぀-ヿ㐀-䶿一-鿿豈-﫿가-힯฀-๿]+(?:['’][a-zà-ÿ]+)?")
 _LATIN = re.compile("[a-zß-ÿĀ-ɏḀ-ỿ'’]+$")
 _CJK = re.compile("[぀-ヿㇰ-ㇿｦ-ﾟ㐀-䶿一-鿿豈-﫿々가-힯]")
-_KANA, _HAN, _HANGUL = re.compile("[぀-ヿㇰ-ㇿｦ-ﾟ]"), re.compile("[㐀-䶿一-鿿豈-﫿]"), re.compile("[가-힯]")
+_HAN = re.compile(r"[\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]")
+_SCRIPT = {code: re.compile(f"[{chars}]") for code, chars in SCRIPTS.items()}
+_UNSPACED = ("zh", "ja", "ko", "th")  # their words are counted in characters
+
 
 
 def label_code(label: Column) -> Column:
@@ -137,18 +155,38 @@ class Model:
     scores: np.ndarray
 
     def rows(self, words: list[str]) -> list[int]:
-        """Score rows of a sentence's words; the last rows are those of the scripts."""
-        kana = any(_KANA.search(w) for w in words)
-        size = len(self.scores) - 3
-        return [
-            (size if kana else size + 1) if _HAN.search(w) or _KANA.search(w) else size + 2 if _HANGUL.search(w) else self.vocabulary.get(w, 0) for w in words
-        ]
+        """Score rows of a sentence's words; the last rows are those of the scripts, in their order."""
+        out, size = [], len(self.scores) - len(SCRIPTS)
+        kana = False
+        for w in words:
+            row = self.vocabulary.get(w)
+            if row is None:
+                script = None if w.isascii() else script_of(w)
+                row = 0 if script is None else size + script
+                kana |= script == 0
+            out.append(row)
+        return [size if r == size + 1 else r for r in out] if kana else out  # Han words beside Kana are Japanese
+
+    def candidates(self, rows: np.ndarray) -> tuple[int, ...]:
+        """The languages that the scripts of a text leave: those of Latin words and of each other script that it holds."""
+        size = len(self.scores) - len(SCRIPTS)
+        found = {int(r) - size for r in np.unique(rows[rows >= size])}
+        codes = list(SCRIPTS)
+        named = {codes[k] for k in found} | ({"ja"} if 1 in found else set())
+        latin = [k for k, c in enumerate(self.languages) if c not in SCRIPTS] if (rows < size).any() else []
+        return tuple(sorted([*latin, *(self.languages.index(c) for c in named)]))
+
+
+@lru_cache(maxsize=100_000)
+def script_of(word: str) -> int | None:
+    """The place in SCRIPTS of the first script that a word holds, None for a Latin or other one."""
+    return next((k for k, p in enumerate(_SCRIPT.values()) if p.search(word)), None)
 
 
 def fit(rows: Iterable[tuple[str, str]], rounds: int = 3) -> Model:
     """Word scores from (text, language code) pairs; wrong labels are outvoted by the rounds of reclassification."""
     documents = [(code, [tokens(s) for s, _ in sentences(text)]) for text, code in rows]
-    languages = sorted({c for c, _ in documents} | {"zh", "ja"})
+    languages = sorted({c for c, _ in documents} | set(SCRIPTS))
     of = {c: k for k, c in enumerate(languages)}
     vocabulary: dict[str, int] = {}
     lines, labels = [], []
@@ -161,7 +199,7 @@ def fit(rows: Iterable[tuple[str, str]], rounds: int = 3) -> Model:
                 labels.append(of[code])
     latin = [of[c] for c in languages if c not in SCRIPTS]
     size, count = len(vocabulary) + 1, len(languages)
-    scores = np.zeros((size + 3, count), dtype=np.float32)
+    scores = np.zeros((size + len(SCRIPTS), count), dtype=np.float32)
     if lines and latin:
         flat, lengths = np.concatenate(lines), np.array([len(x) for x in lines])
         owner = np.repeat(np.arange(len(lines)), lengths)
@@ -185,88 +223,148 @@ def fit(rows: Iterable[tuple[str, str]], rounds: int = 3) -> Model:
     other = [of[c] for c in languages if c in SCRIPTS]
     scores[1:size][:, other] = -1.0  # a known Latin word is weak evidence against another script
     scores[size:] = -8
-    scores[size, of["ja"]] = 8
-    scores[size + 1, of["zh"]] = 8
+    for k, code in enumerate(SCRIPTS):
+        scores[size + k, of[code]] = 8
     scores[size + 1, of["ja"]] = 2
-    if "ko" in of:
-        scores[size + 2, of["ko"]] = 8
     return Model(languages, vocabulary, scores)
 
 
-def _viterbi(model: Model, batch: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
-    """The best language of every word of each text; (rows, whether the word begins a sentence). Texts go through together."""
-    count, longest, states = len(batch), max(len(r) for r, _ in batch), len(model.languages)
+def _viterbi(scores: np.ndarray, batch: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """The best column of scores for every word of each text; (rows, whether the word begins a sentence). Texts go through together."""
+    count, longest, states = len(batch), max(len(r) for r, _ in batch), scores.shape[1]
     rows = np.zeros((count, longest), dtype=np.int64)
     cost = np.full((count, longest), INSIDE, dtype=np.float32)
     for k, (r, first) in enumerate(batch):
         rows[k, : len(r)] = r
         cost[k, : len(r)][first] = BETWEEN
-    best = model.scores[rows[:, 0]].copy()
-    kept = np.zeros((count, longest, states), dtype=bool)
-    source = np.zeros((count, longest), dtype=np.int8)
+    best = scores[rows[:, 0]].copy()
+    each = np.arange(count)
+    kept = np.zeros((longest, count, states), dtype=bool)
+    source = np.zeros((longest, count), dtype=np.int8)
     for t in range(1, longest):
         top = best.argmax(1)
-        jump = best[np.arange(count), top] - cost[:, t]
+        jump = best[each, top] - cost[:, t]
         stay = best >= jump[:, None]
-        kept[:, t], source[:, t] = stay, top
-        best = np.where(stay, best, jump[:, None]) + model.scores[rows[:, t]]
-    out = []
-    for k, (r, _) in enumerate(batch):
-        path = np.zeros(len(r), dtype=np.int8)
-        # words beyond the text's end are unknown and change nothing, so the end's best state is the text's
-        state = int(best[k].argmax())
-        for t in range(longest - 1, -1, -1):
-            if t < len(r):
-                path[t] = state
-            if t and not kept[k, t, state]:
-                state = int(source[k, t])
-        out.append(path)
-    return out
-
-
-def label_texts(model: Model, texts: list[str | None]) -> Iterator[list[tuple[int, str, str, float, int]]]:
-    """For each text (offset, sentence, language, margin, words that speak for it) of its sentences; margin is the log odds to the next language."""
-    pending: list[tuple[int, list]] = []
+        kept[t], source[t] = stay, top
+        best = np.where(stay, best, jump[:, None]) + scores[rows[:, t]]
+    # words beyond a text's end are unknown and change nothing, so the end's best state is the text's
+    path = np.zeros((count, longest), dtype=np.int8)
+    state = best.argmax(1)
+    for t in range(longest - 1, -1, -1):
+        path[:, t] = state
+        state = np.where(kept[t, each, state], state, source[t]) if t else state
+    return [path[k, : len(r)] for k, (r, _) in enumerate(batch)]
+
+
+@dataclass(frozen=True)
+class Labelled:
+    """A sentence with its words' languages: lang leads, margin is its log odds to the next one, size the words that speak
+    for it (0 if the sentence is in several languages); path has the language of each word."""
+
+    offset: int
+    sentence: str
+    words: list[str]
+    path: list[str]
+    lang: str
+    margin: float
+    size: int
+
+
+def label_texts(model: Model, texts: list[str | None]) -> Iterator[list[Labelled]]:
+    """The labelled sentences of each text."""
+    parted: list[list[tuple[str, int, list[str]]]] = []
     prepared: list[tuple[np.ndarray, np.ndarray] | None] = []
-    for text in texts:
+    groups: dict[tuple[int, ...], list[int]] = {}
+    for k, text in enumerate(texts):
         parts = [(s, o, tokens(s)) for s, o in sentences(text)] if text and text.strip() else []
-        parts = [(s, o, w) for s, o, w in parts if w]
+        parts = [p for p in parts if p[2]]
         rows = [model.rows(w) for _, _, w in parts]
         flat = np.array([x for r in rows for x in r], dtype=np.int64)
         first = np.zeros(len(flat), dtype=bool)
-        first[np.cumsum([0, *[len(r) for r in rows]])[:-1]] = True
-        pending.append((len(flat), list(zip(parts, rows, strict=True))))
+        first[np.cumsum([0, *map(len, rows)])[:-1]] = True
+        parted.append(parts)
         prepared.append((flat, first) if len(flat) else None)
+        if len(flat):
+            groups.setdefault(model.candidates(flat), []).append(k)
     paths: dict[int, np.ndarray] = {}
-    order = sorted((k for k, p in enumerate(prepared) if p), key=lambda k: pending[k][0])
-    while order:
-        batch, longest = [], 0
-        while order and (not batch or max(longest, pending[order[0]][0]) * (len(batch) + 1) <= BATCH_WORDS):
-            longest = max(longest, pending[order[0]][0])
-            batch.append(order.pop(0))
-        paths.update(zip(batch, _viterbi(model, [prepared[k] for k in batch]), strict=True))
-    for k, (_, parts) in enumerate(pending):
+    for languages, members in groups.items():
+        own, narrowed = np.array(languages, dtype=np.int8), model.scores[:, list(languages)]
+        order = sorted(members, key=lambda k: len(prepared[k][0]), reverse=True)
+        while order:
+            # the shortest first, as many as fit when all are as long as the longest of them
+            batch, longest = [], 0
+            while order and (not batch or max(longest, len(prepared[order[-1]][0])) * (len(batch) + 1) <= BATCH_WORDS):
+                longest = max(longest, len(prepared[order[-1]][0]))
+                batch.append(order.pop())
+            paths.update((k, own[p]) for k, p in zip(batch, _viterbi(narrowed, [prepared[k] for k in batch]), strict=True))
+    for k, parts in enumerate(parted):
         out, at = [], 0
-        for (sentence, offset, words), rows in parts:
-            path = paths[k][at : at + len(rows)]
-            at += len(rows)
-            lead = int(np.bincount(path).argmax())
-            if (path == lead).mean() < 0.8:
-                continue
-            total = model.scores[rows].sum(0)
-            margin = float(total[lead] - max(np.delete(total, lead), default=0))
-            # single letters are mostly initials; of a Han or Kana text its own characters count
-            known = sum(len(w) > 1 and float(model.scores[r, lead]) > 0.5 for w, r in zip(words, rows, strict=True))
-            size = known if model.languages[lead] not in ("zh", "ja", "ko") else sum(len(w) for w in words if _CJK.match(w))
-            out.append((offset, sentence, model.languages[lead], margin, size))
+        for sentence, offset, words in parts:
+            path, rows = paths[k][at : at + len(words)], prepared[k][0][at : at + len(words)]
+            at += len(words)
+            out.append(_labelled(model, offset, sentence, words, path, rows))
         yield out
 
 
-def _whole(sentence: str, lang: str, margin: float, size: int) -> bool:
-    """Whether a sentence is a whole one: it is ended or long, and its words speak for its language."""
-    unit = 3 if lang in ("zh", "ja", "ko") else 1  # their words are counted in characters
-    ended = bool(_ENDED.search(sentence))
-    return margin >= EVIDENCE and size >= (MIN_WORDS if ended else 8) * unit
+def _labelled(model: Model, offset: int, sentence: str, words: list[str], path: np.ndarray, rows: np.ndarray) -> Labelled:
+    size = len(model.scores) - len(SCRIPTS)
+    script = np.where(rows < size + 2, 0, rows - size)  # Latin, Kana and Han words are judged together
+    lead = int(np.bincount(path).argmax())
+    of = list(SCRIPTS).index(model.languages[lead]) if model.languages[lead] in SCRIPTS else 0
+    own = script == (of if of > 1 else 0)
+    # fewer words of another script are a name or mark that the sentence quotes
+    if 2 * own.sum() < len(own):
+        own[:] = True
+    names = [model.languages[x] for x in path]
+    total = model.scores[rows[own]].sum(0)
+    margin = float(total[lead] - max(np.delete(total, lead), default=0))
+    if (path[own] == lead).mean() < 0.8:
+        return Labelled(offset, sentence, words, names, model.languages[lead], margin, 0)
+    # single letters are mostly initials; of a text without blanks its own characters count
+    if model.languages[lead] in _UNSPACED:
+        held = sum(len(w) for w, o in zip(words, own, strict=True) if o and not w.isascii() and script_of(w) is not None)
+    else:
+        held = sum(len(w) > 1 for w, hit in zip(words, model.scores[rows, lead] > 0.5, strict=True) if hit)
+    return Labelled(offset, sentence, words, names, model.languages[lead], margin, held)
+
+
+def _whole(found: Labelled) -> bool:
+    """Whether a sentence is a whole one of one language: it is ended or long, and its words speak for its language."""
+    unit = 3 if found.lang in _UNSPACED else 1
+    return found.margin >= EVIDENCE and found.size >= (MIN_WORDS if _ENDED.search(found.sentence) else 8) * unit
+
+
+def confidence_of(margin: float) -> float:
+    """From 0 to 1 by the odds against the next language."""
+    return float(1 - np.exp(-max(margin, 0) / 2))
+
+
+def segments(model: Model, text: str, found: list[Labelled]) -> list[tuple[int, int, str, float, str, bool]]:
+    """(start, end, language, confidence, text, whole) of the runs of one language in each sentence, in the text as it stands.
+
+    Start and end are those of a run's first and last word that the text holds as written; what a sentence
+    leaves out (markup, bracketed terms, links) lies between. No sentence is left out: one of several
+    languages gives a segment for each run of its Viterbi path.
+    """
+    places = [(m[0], m.start(), m.end()) for m in _WORD.finditer("".join(c.lower() if len(c.lower()) == 1 else c for c in text))]
+    out, at = [], 0
+    for one in found:
+        whole = _whole(one)
+        cuts = [0] if one.size else [0, *(k for k in range(1, len(one.path)) if one.path[k] != one.path[k - 1])]
+        for low, high in zip(cuts, [*cuts[1:], len(one.words)], strict=True):
+            lang = one.lang if one.size else one.path[low]
+            start = end = None
+            for word in one.words[low:high]:
+                hit = next((k for k in range(at, min(at + LOOK_AHEAD, len(places))) if places[k][0] == word), None)
+                if hit is not None:
+                    start, end, at = places[hit][1] if start is None else start, places[hit][2], hit + 1
+            if start is None:
+                start = end = one.offset
+            column = model.languages.index(lang)
+            total = model.scores[model.rows(one.words[low:high])].sum(0)
+            margin = one.margin if one.size else float(total[column] - max(np.delete(total, column), default=0))
+            out.append((start, end, lang, round(confidence_of(margin), 4), text[start:end], whole))
+    return out
 
 
 def fitted(documents: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE) -> Model:
@@ -289,26 +387,24 @@ def document_languages(documents: DataFrame, key: str, text: str, model: Model)
     confidence is the mean over the language's sentences of the odds against the next language, from 0 to 1.
     Null, empty and blank texts, and texts of codes and tables only, give no row. One pass without a shuffle.
     """
-    spans = passages(documents, key, text, model, whole=True)
+    spans = passages(documents, key, text, model).where("whole")
     return spans.groupBy(key, "lang").agg(F.avg("confidence").alias("confidence"), F.count("*").alias("sentences"))
 
 
-def passages(documents: DataFrame, key: str, text: str, model: Model, whole: bool = False) -> DataFrame:
-    """(key, pos, lang, confidence, sentence) of each sentence; whole: only whole sentences, without their text."""
+def passages(documents: DataFrame, key: str, text: str, model: Model) -> DataFrame:
+    """(key, pos, start, end, lang, confidence, passage, whole) of each segment of one language, in order; see segments."""
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
     kind = dict(documents.dtypes)[key]
+    columns = ["k", "pos", "start", "end", "lang", "confidence", "passage", "whole"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            out = []
-            for k, found in zip(frame["k"], label_texts(shared.value, frame["t"].tolist()), strict=True):
-                for pos, (_, sentence, lang, margin, size) in enumerate(found):
-                    if _whole(sentence, lang, margin, size) or not whole:
-                        out.append((k, pos, lang, round(float(1 - np.exp(-max(margin, 0) / 2)), 4), None if whole else sentence))
-            yield pd.DataFrame(out, columns=["k", "pos", "lang", "confidence", "sentence"])
+            texts = frame["t"].tolist()
+            labelled = zip(frame["k"], texts, label_texts(shared.value, texts), strict=True)
+            yield pd.DataFrame([(k, pos, *row) for k, t, found in labelled for pos, row in enumerate(segments(shared.value, t, found))], columns=columns)
 
     rows = documents.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null and trim(t) <> ''")
-    return rows.mapInPandas(run, f"k {kind}, pos int, lang string, confidence double, sentence string").withColumnRenamed("k", key)
+    return rows.mapInPandas(run, f"k {kind}, pos int, start int, end int, lang string, confidence double, passage string, whole boolean").withColumnRenamed("k", key)
 
 
 def wrong_or_mixed(documents: DataFrame, key: str, text: str, label: str, model: Model) -> DataFrame:
@@ -322,9 +418,9 @@ def wrong_or_mixed(documents: DataFrame, key: str, text: str, label: str, model:
             out = []
             for k, code, found in zip(frame["k"], frame["code"], label_texts(shared.value, frame["t"].tolist()), strict=True):
                 by: dict[str, list[float]] = {}
-                for _, sentence, lang, margin, size in found:
-                    if _whole(sentence, lang, margin, size):
-                        by.setdefault(lang, []).append(float(1 - np.exp(-margin / 2)))
+                for one in found:
+                    if _whole(one):
+                        by.setdefault(one.lang, []).append(confidence_of(one.margin))
                 if len(by) > 1 or (by and code not in by):
                     out += [(k, lang, round(sum(c) / len(c), 4)) for lang, c in by.items()]
             yield pd.DataFrame(out, columns=["k", "lang", "confidence"])

@@ -77,7 +77,7 @@ def p8_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every sentence of every document with its language and confidence."""
+    """Every segment of one language of every document with its place, language and confidence."""
     documents = table(spark, sf_dir, "documents")
     return language.passages(documents, "doc_id", "text", language.fitted(documents, "doc_id", "text", "lang"))
 

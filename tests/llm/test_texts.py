@@ -122,7 +122,7 @@ def test_language_on_held_out_documents():
     model = language.fit(known[::2])
     held = known[1::2]
     labelled = list(language.label_texts(model, [t for t, _ in held]))
-    hits = sum(code in {lang for _, s, lang, m, n in found if language._whole(s, lang, m, n)} for (_, code), found in zip(held, labelled, strict=True) if found)
+    hits = sum(code in {x.lang for x in found if language._whole(x)} for (_, code), found in zip(held, labelled, strict=True) if found)
     # about 7 of 100 labels are wrong in the tables
     assert hits / sum(map(bool, labelled)) > 0.88
 
@@ -140,11 +140,37 @@ def test_wrong_and_mixed(spark):
     model = language.fitted(df, "doc_id", "text", "lang")
     got = {(r["doc_id"], r["lang"]) for r in language.wrong_or_mixed(df, "doc_id", "text", "lang", model).collect()}
     assert got == {(101, "en"), (102, "en"), (103, "en"), (103, "de"), (108, "ja"), (109, "en"), (109, "zh")}
-    assert all(0 < r["confidence"] <= 1 for r in language.passages(df, "doc_id", "text", model).where("sentence is not null").collect() if r["confidence"])
+    spans = language.passages(df, "doc_id", "text", model).collect()
+    text_of = {k: t for k, t, _ in lesson + cases}
+    assert all(0 <= r["confidence"] <= 1 and text_of[r["doc_id"]][r["start"] : r["end"]] == r["passage"] for r in spans)
     none = df.where("false")
     assert language.wrong_or_mixed(none, "doc_id", "text", "lang", language.fitted(none, "doc_id", "text", "lang")).count() == 0
 
 
+SCRIPTED = {
+    "ru": "Заявитель не ответил в установленный срок, и дело было закрыто.", "el": "Ο αιτών δεν απάντησε εντός της προθεσμίας και η υπόθεση έκλεισε.", "ar": "لم يرد مقدم الطلب خلال المهلة المحددة وأغلقت القضية.",
+    "ko": "출원인이 정해진 기간 내에 답변하지 않아 사건이 종결되었습니다.", "he": "המבקש לא השיב בתוך המועד שנקבע והתיק נסגר.", "zh": TEXTS["zh"], "ja": TEXTS["ja"],
+}
+
+
+def test_scripts_need_no_labels():
+    model = language.fit([])
+    for code, text in SCRIPTED.items():
+        found = next(language.label_texts(model, [text]))
+        assert [x.lang for x in found if language._whole(x)] == [code], (code, found)
+    latin = language.fit([(TEXTS[c], c) for c in ("en", "de")] * 6)
+    quoted = next(language.label_texts(latin, ["The board denied the request for the mark «Красная Площадь» and the file was closed."]))
+    assert [x.lang for x in quoted if language._whole(x)] == ["en"]
+
+
+def test_a_sentence_of_two_languages_is_cut_into_spans():
+    model = language.fit([(TEXTS[c], c) for c in ("en", "de")] * 6)
+    text = "<b>The board denied the request</b> und der Antrag wurde zurückgewiesen"
+    found = next(language.label_texts(model, [text]))
+    got = [(lang, piece, text[start:end] == piece) for start, end, lang, _, piece, _ in language.segments(model, text, found)]
+    assert ("de", "und der Antrag wurde zurückgewiesen", True) in got and any(lang == "en" and "board denied the request" in piece for lang, piece, _ in got)
+
+
 def test_label_codes(spark):
     labels = ["en_GB", "English", "ENG", "zh_Hans", "por", " fr-FR ", "German", "und", "xx", "mul", "??", "", None]
     df = spark.createDataFrame([(x,) for x in labels], "l string")
