@@ -1,18 +1,24 @@
 """Several values packed in one field: infer each source's delimiters, split, one row per value.
 
-A cell is read in two passes. The first scores every candidate delimiter per source and field: how
-regular the pieces are that it leaves (each of them an address, number or link of the field's type)
-and how consistent their number is with the number of values that the cell holds. The second splits a
-cell by its source's delimiters, the best first, and keeps quoted pieces whole.
+A cell is read in two passes. The first finds the delimiters that explain each cell best and scores them
+per source and field: how regular the pieces are that they leave (each of them an address, number or link
+of the field's type) and how consistent their number is with the number of values that the cell holds; a
+mark that stands inside regular values is no evidence. Candidates are the known delimiters and any other
+mark that is not part of the field's values. The second pass splits a cell by those delimiters of its
+source that score well enough, and by no others, and keeps quoted pieces whole. A plain text field has no
+regular form: it is cut by the one delimiter, if any, that stands in most of its source's cells.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+import unicodedata
+from collections.abc import Iterable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Marks that say "nothing here".
@@ -56,6 +62,12 @@ _EXTENSION = re.compile(r"(?:转|分机|ext\.?|x)\s*\d{1,5}$", re.IGNORECASE)
 _EMAIL = re.compile(r"(?:[^<>@]*<\s*)?[\w.+\-]+@[\w\-]+(?:\.[\w\-]+)+\s*>?")
 _LINK = re.compile(r"(?:https?://)?(?:[\w\-]+\.)+[a-z]{2,}(?::\d+)?(?:[/?#][^\s|｜;；，、\"]*)?", re.IGNORECASE)
 KINDS = {"phones": "phone", "emails": "email", "websites": "link"}
+LEAST_SCORE = 0.4  # of a delimiter by which a source's cells are cut
+PRIOR_CELLS = 5  # by which a source's score is drawn towards that of all sources
+SHORT_PIECE = 4  # words of a piece of plain text that looks like one of several values
+# marks that belong to the values of a kind, and are no candidates there
+_OWN = {"phone": "+-.()（）*", "email": "@._+-<>()", "link": ":/.?#=&%_-~+,@!$*'()", "text": "-.'’()（）&@#%_"}
+_NUMBER = {"phone": re.compile(r"\d{6,}|\d[\d\- ]{6,}\d"), "email": re.compile("@"), "link": re.compile(r"(?:https?://)?(?:[\w\-]+\.)+[a-z]{2,}(?:[:/?#][^\s|｜;；，、\"<>]*)?", re.I)}
 
 
 def regular(piece: str, kind: str) -> bool:
@@ -144,22 +156,48 @@ def segments(text: str) -> list[tuple[str, bool]]:
     return [*out, (text[begin:], False)]
 
 
+def _pattern(name: str) -> re.Pattern:
+    """The pattern of a known delimiter, or of another mark, which is named by itself."""
+    return DELIMITERS.get(name) or _other(name)
+
+
+@lru_cache(maxsize=10_000)
+def _other(mark: str) -> re.Pattern:
+    return re.compile(rf"\s*(?:{re.escape(mark)})+\s*")
+
+
+def candidates(text: str, kind: str) -> list[str]:
+    """The delimiters that a text may be cut by: known ones in their order, then other marks that no value of the kind holds."""
+    known = [n for n, p in DELIMITERS.items() if p.search(text)]
+    other = dict.fromkeys(c for c in text if not c.isalnum() and not c.isspace() and c not in _OWN[kind] and c not in _KNOWN_MARKS and unicodedata.category(c)[0] in "PS")
+    return [*known, *other]
+
+
+_KNOWN_MARKS = frozenset(",;；，、|｜/／&＆+·•\\") | set(QUOTES) | set(QUOTES.values()) | set(BRACKETS) | set(BRACKETS.values())
+
+
 def _split(piece: str, kind: str, names: list[str]) -> list[str]:
     """Values of an unquoted piece, by the delimiters in their order; each cut must leave regular values only, or be firm."""
-    piece = _bare(piece)
+    piece = _bare(_edges(piece))
     if is_nothing(piece):
         return []
-    if regular(piece, kind) and kind in ("phone", "email", "link"):
+    if kind == "text":
+        return [v for p in _pattern(names[0]).split(piece) for v in _split(p, kind, names[1:])] if names else [piece]
+    if regular(piece, kind):
         return [piece]
     odd: list[str] | None = None
     for name in names:
-        if not DELIMITERS[name].search(piece):
+        pattern = _pattern(name)
+        if not pattern.search(piece):
             continue
-        parts = [p for p in DELIMITERS[name].split(piece)]
-        values = [v for p in parts for v in _split(p, kind, [n for n in names if n != name])]
-        if values and (len(parts) > 1) and all(regular(v, kind) for v in values):
+        parts = pattern.split(piece)
+        if sum(bool(p.strip(BLANKS)) for p in parts) < 2:
+            continue  # a mark at the end cuts nothing
+        rest = [n for n in names if n != name]
+        values = [v for p in parts for v in _split(p, kind, rest)]
+        if values and all(regular(v, kind) for v in values):
             return values
-        if odd is None and name in FIRM and len(values) > 0:
+        if odd is None and name in FIRM and values:
             odd = values
     return odd if odd is not None else [piece]
 
@@ -187,47 +225,83 @@ def _edges(piece: str) -> str:
     return piece
 
 
-def score_cell(cell: str | None, kind: str) -> list[tuple[str, float, float]]:
-    """(delimiter, regularity of its pieces, consistency of their number) for each delimiter found outside quotes."""
+def _explained(piece: str, kind: str, names: list[str]) -> list[tuple[str, float, float]]:
+    """(delimiter, regularity, consistency) of the cuts that explain a piece best; of all its delimiters, without worth, where none does."""
+    piece = _bare(piece)
+    if is_nothing(piece) or regular(piece, kind):
+        return []
+    present = [n for n in names if _pattern(n).search(piece)]
+    expected = max(1, len(_NUMBER[kind].findall(piece)))
+    best = None
+    for name in present:
+        rest = [n for n in present if n != name]
+        parts = _pattern(name).split(piece)
+        values = [v for p in parts for v in _split(p, kind, rest)]
+        if not values or sum(not is_nothing(_bare(p)) for p in parts) < 2:
+            continue  # a mark at the end cuts nothing
+        good = sum(regular(v, kind) for v in values) / len(values)
+        even = min(len(values), expected) / max(len(values), expected)
+        if best is None or good * even > best[1] * best[2]:
+            best = (name, good, even, parts, rest)
+    if best is None or not best[1]:
+        return [(n, 0.0, 0.0) for n in present]
+    return [best[:3], *(x for p in best[3] for x in _explained(p, kind, best[4]))]
+
+
+def score_cell(cell: str | None, kind: str) -> list[tuple[str, float | None, float | None]]:
+    """(delimiter, regularity of its pieces, consistency of their number) for each delimiter outside quotes; null for one
+    that is there but is left inside the values of a better one."""
     if cell is None or is_nothing(cell.strip(BLANKS)):
         return []
-    open_text = "\n".join(p for p, q in segments(cell) if not q and p.strip(BLANKS))
-    marks = {"phone": re.compile(r"\d{6,}|\d[\d\- ]{6,}\d"), "email": re.compile("@"), "link": re.compile(r"(?:https?://|www\.|\w\.(?:\w+\.)*\w+)", re.I)}.get(kind)
-    out = []
-    for name, pattern in DELIMITERS.items():
-        if not pattern.search(open_text.strip(BLANKS)):
-            continue
-        parts = [_bare(p) for p in pattern.split(open_text)]
-        parts = [p for p in parts if not is_nothing(p)]
-        if not parts:
-            continue
-        good = sum(regular(p, kind) for p in parts) / len(parts)
-        expected = max(1, len(marks.findall(open_text))) if marks else len(parts)
-        out.append((name, good, min(len(parts), expected) / max(len(parts), expected)))
+    pieces = [_edges(p) for p, q in segments(cell) if not q and p.strip(BLANKS)]
+    present = dict.fromkeys(n for p in pieces for n in candidates(p, kind) if kind == "text" or not regular(_bare(p), kind))
+    out: list[tuple[str, float | None, float | None]] = []
+    if kind == "text":
+        for name in present:
+            parts = [v for p in pieces for v in map(_bare, _pattern(name).split(p)) if not is_nothing(v)]
+            if len(parts) > 1 and name != "blank":
+                out.append((name, sum(len(v.split()) <= SHORT_PIECE for v in parts) / len(parts), 1.0))
+        return out
+    found: dict[str, list[tuple[float, float]]] = {}
+    for piece in pieces:
+        for name, good, even in _explained(piece, kind, candidates(piece, kind)):
+            found.setdefault(name, []).append((good, even))
+    for name in present:
+        cuts = found.get(name)
+        out.append((name, sum(g for g, _ in cuts) / len(cuts), sum(e for _, e in cuts) / len(cuts)) if cuts else (name, None, None))
     return out
 
 
+ALL_CELLS = "*"  # the count of a plain text field's cells, among its delimiters
+
+
 def delimiter_scores(cells: DataFrame, source: str, field: str, cell: str) -> DataFrame:
-    """(source, field, delimiter, cells, score): mean of regularity x consistency, shrunk towards the mean over all sources.
+    """(source, field, delimiter, cells, score, share) of each delimiter that stands in a source's cells.
 
-    cells: a row per cell. One aggregation with partial sums; the result has a row per source, field and delimiter.
+    score: mean of regularity x consistency over the cells that it explains or could not, drawn towards the
+    mean over all sources; cells is their number, share their part of the cells that it stands in. Of a plain
+    text field the mean is over all cells of the source, so that a delimiter scores by the share of cells that
+    it stands in. cells: a row per cell. One aggregation with partial sums; the result has a row per source,
+    field and delimiter.
     """
 
     @F.pandas_udf("array<struct<delimiter:string,regularity:double,consistency:double>>")
     def scored(texts: pd.Series, fields: pd.Series) -> pd.Series:
-        return pd.Series([score_cell(t, KINDS.get(f, "text")) for t, f in zip(texts, fields, strict=True)])
+        counted = [(ALL_CELLS, 1.0, 1.0)]
+        return pd.Series([score_cell(t, KINDS[f]) if f in KINDS else score_cell(t, "text") + counted for t, f in zip(texts, fields, strict=True)])
 
     each = (
         cells.where(F.col(cell).isNotNull())
         .select(source, field, F.explode(scored(F.col(cell), F.col(field))).alias("s"))
         .groupBy(source, field, F.col("s.delimiter").alias("delimiter"))
-        .agg(F.count("*").alias("cells"), F.sum(F.col("s.regularity") * F.col("s.consistency")).alias("total"))
-    )
-    # the rows per delimiter over all sources are at most |fields| x |DELIMITERS|, so this broadcast is bounded
-    overall = each.groupBy(field, "delimiter").agg((F.sum("total") / F.sum("cells")).alias("prior"))
-    return each.join(F.broadcast(overall), [field, "delimiter"]).select(
-        source, field, "delimiter", "cells", ((F.col("total") + 5 * F.col("prior")) / (F.col("cells") + 5)).alias("score")
+        .agg(F.count("s.regularity").alias("cells"), F.count("*").alias("seen"), F.coalesce(F.sum(F.col("s.regularity") * F.col("s.consistency")), F.lit(0.0)).alias("total"))
     )
+    whole = F.max(F.when(F.col("delimiter") == ALL_CELLS, F.col("cells"))).over(W.partitionBy(source, field))
+    rows = each.withColumn("of", F.coalesce(whole, F.col("cells"))).where(F.col("delimiter") != ALL_CELLS)
+    # a plain text's sources have nothing in common; the rows of the others are at most |fields| x |delimiters|, so the broadcast is bounded
+    prior = rows.where(F.col(field).isin(*KINDS)).groupBy(field, "delimiter").agg(F.coalesce(F.sum("total") / F.nullif(F.sum("cells"), F.lit(0)), F.lit(0.0)).alias("prior"))
+    drawn = F.when(F.col("prior").isNull(), F.col("total") / F.col("of")).otherwise((F.col("total") + PRIOR_CELLS * F.col("prior")) / (F.col("cells") + PRIOR_CELLS))
+    return rows.join(F.broadcast(prior), [field, "delimiter"], "left").select(source, field, "delimiter", "cells", drawn.alias("score"), (F.col("cells") / F.col("seen")).alias("share"))
 
 
 def explode_packed(df: DataFrame, key: Column, source: Column, fields: Iterable[str]) -> DataFrame:
@@ -242,15 +316,12 @@ def explode_packed(df: DataFrame, key: Column, source: Column, fields: Iterable[
     long = cells.select(
         "row_key", "src", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("cell")) for f in names])).alias("x")
     ).select("row_key", "src", "x.field", "x.cell")
-    ranked = (
-        delimiter_scores(long, "src", "field", "cell")
-        .groupBy("src", "field")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("o"), "delimiter"))), lambda x: x["delimiter"]).alias("delimiters"))
-    )
+    best = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("score") * F.col("share")).alias("o"), "delimiter"))), lambda x: x["delimiter"])
+    ranked = delimiter_scores(long, "src", "field", "cell").where((F.col("score") >= LEAST_SCORE) & (F.col("cells") > 0)).groupBy("src", "field").agg(best.alias("delimiters"))
 
     @F.pandas_udf("array<string>")
     def unpacked(texts: pd.Series, kinds: pd.Series, orders: pd.Series) -> pd.Series:
-        return pd.Series([unpack(t, KINDS.get(k, "text"), _complete(o)) for t, k, o in zip(texts, kinds, orders, strict=True)])
+        return pd.Series([unpack(t, KINDS.get(k, "text"), in_order(o, KINDS.get(k, "text"))) for t, k, o in zip(texts, kinds, orders, strict=True)])
 
     return (
         long.where(F.col("cell").isNotNull() & (F.trim("cell") != ""))
@@ -260,14 +331,7 @@ def explode_packed(df: DataFrame, key: Column, source: Column, fields: Iterable[
     )
 
 
-def _complete(order: Iterable[str] | None) -> list[str]:
-    """The source's delimiters, firm ones first, each kind by score; then those it was never seen with."""
-    seen = [str(x) for x in order] if order is not None else []
-    every = [*seen, *[d for d in DELIMITERS if d not in seen]]
-    return [d for d in every if d in FIRM] + [d for d in every if d not in FIRM]
-
-
-def pieces_of(rows: Iterator[tuple[str | None, str]]) -> Iterator[list[str]]:
-    """unpack over (cell, field) pairs with the delimiters in their stated order, for use without Spark."""
-    for cell, field in rows:
-        yield unpack(cell, KINDS.get(field, "text"), _complete(None))
+def in_order(delimiters: Iterable[str] | None, kind: str) -> list[str]:
+    """The delimiters by which a cell is cut, from those of its source, the best first: firm ones go before the others, a plain text is cut by the best alone."""
+    names = [str(x) for x in delimiters] if delimiters is not None else []
+    return names[:1] if kind == "text" else [d for d in names if d in FIRM] + [d for d in names if d not in FIRM]

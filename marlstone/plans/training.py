@@ -23,7 +23,7 @@ def p1_delimiters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score of each delimiter in each source and field."""
     rows = table(spark, sf_dir, "cn_qcc_company_observation")
     cells = rows.select(F.coalesce("source_result_path", F.lit("")).alias("src"), F.explode(F.create_map(*[x for f in PACKED for x in (F.lit(f), F.col(f))])).alias("field", "cell"))
-    return delimiter_scores(cells, "src", "field", "cell").select("src", "field", "delimiter", "cells", F.round("score", 6).alias("score"))
+    return delimiter_scores(cells, "src", "field", "cell").select("src", "field", "delimiter", "cells", F.round("score", 6).alias("score"), F.round("share", 6).alias("share"))
 
 
 def _packages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,11 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.operators.packed import delimiter_scores, explode_packed, pieces_of, regular, unpack
+from marlstone.operators.packed import DELIMITERS, KINDS, delimiter_scores, explode_packed, in_order, regular, unpack
 
 
 def values(cell, field="phones"):
-    return next(pieces_of([(cell, field)]))
+    return unpack(cell, KINDS[field], in_order(DELIMITERS, KINDS[field]))
 
 
 @pytest.mark.parametrize(
@@ -77,3 +77,34 @@ def test_scores_prefer_the_delimiter_in_use(spark):
     cells = spark.createDataFrame([("s", "phones", f"0571-123456{k}; 0571-765432{k}") for k in range(9)], "src string, field string, cell string")
     scores = {r["delimiter"]: r["score"] for r in delimiter_scores(cells, "src", "field", "cell").collect()}
     assert scores["semicolon"] > 0.9 and scores["semicolon"] > scores["blank"]
+
+
+def split_by_source(spark, rows, field):
+    df = spark.createDataFrame(rows, f"row_id bigint, src string, {field} string")
+    out: dict = {}
+    for r in sorted(explode_packed(df, F.col("row_id"), F.col("src"), [field]).collect(), key=lambda r: (r["row_key"], r["pos"])):
+        out.setdefault(r["row_key"], []).append(r["value"])
+    return out
+
+
+def test_sources_split_one_cell_differently(spark):
+    rows = [(k, "a", f"red {k}; blue" + "; tea/milk" * (k % 3 == 0)) for k in range(9)] + [(100 + k, "b", f"north {k}/south" + "; east" * (k % 3 == 0)) for k in range(9)] + [(500, "a", "one;two/three"), (501, "b", "one;two/three")]
+    got = split_by_source(spark, rows, "goods")
+    assert got[500] == ["one", "two/three"] and got[501] == ["one;two", "three"]
+
+
+def test_plain_text_is_cut_by_its_sources_delimiter_only(spark):
+    rows = [(k, "a", f"Trademark law of class {k}") for k in range(20)] + [(99, "a", "Trademark law and practice / filings")]
+    assert split_by_source(spark, rows, "scope")[99] == ["Trademark law and practice / filings"]
+
+
+def test_marks_outside_the_list_are_found(spark):
+    got = split_by_source(spark, [(k, "a", f"1380013800{k}~1390013900{k}") for k in range(6)], "phones")
+    assert got[3] == ["13800138003", "13900139003"]
+    got = split_by_source(spark, [(k, "a", f"a{k}@x.com#b@y.com^c@z.org") for k in range(6)], "emails")
+    assert got[2] == ["a2@x.com", "b@y.com", "c@z.org"]
+
+
+def test_a_delimiter_that_never_leaves_values_is_not_used(spark):
+    rows = [(k, "a", f"ask Ms Wu; room {k}") for k in range(30)]
+    assert split_by_source(spark, rows, "emails")[5] == ["ask Ms Wu; room 5"]
