@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .hanzi import Han
+
 NOTHING = frozenset("- -- --- — —— – / . * ? n/a na n.a. none null nil nan unknown tbd 无 暂无 没有 未知 不详 空".split())
 
 
@@ -64,5 +67,36 @@ def with_text_ids(rows: DataFrame, row_id: str, text: str) -> DataFrame:
     return rows.select(F.col(row_id).cast("bigint").alias("row_id"), F.col(text).alias("text")).where("text is not null and trim(text) <> ''").withColumn("text_id", F.xxhash64("text"))
 
 
-def exploded(pairs: Iterable[tuple[int, Iterable[str]]]) -> list[tuple[int, int]]:
-    return [(i, key64(k)) for i, keys in pairs for k in keys]
+def spark_key(text: str) -> int:
+    """What xxhash64 gives in Spark for a text."""
+    value = xxhash.xxh64_intdigest(text, seed=42)
+    return value - (1 << 64) if value >= 1 << 63 else value
+
+
+def with_known(texts: DataFrame, known: DataFrame, forms_of: Callable[[str], Iterable[str]]) -> DataFrame:
+    """texts (text_id, text) with found: the rows of known (form, kind, value, of) whose form is one of the text's forms.
+
+    Nothing is collected or bounded: the forms of the texts and of what is known meet in a join, which Spark
+    broadcasts where its statistics show that one side is small. A text without a hit has an empty list.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            keys = [[spark_key(f) for f in set(forms_of(t))] for t in frame["text"]]
+            yield pd.DataFrame({"text_id": frame["text_id"], "keys": keys})
+
+    asked = texts.select("text_id", "text").mapInPandas(run, "text_id bigint, keys array<bigint>").select("text_id", F.explode("keys").alias("key"))
+    hits = asked.join(known.select(F.xxhash64("form").alias("key"), "kind", "value", "of"), "key")
+    grouped = hits.groupBy("text_id").agg(F.collect_set(F.struct("kind", "value", "of")).alias("found"))
+    return texts.join(grouped, "text_id", "left").withColumn("found", F.coalesce("found", F.array().cast(grouped.schema["found"].dataType)))
+
+
+def spoken(known: DataFrame, han: Han) -> DataFrame:
+    """known (form, kind, value, of) with a row of kind `sound` for the syllables of each form in Han characters."""
+    shared = known.sparkSession.sparkContext.broadcast(han)  # of one size
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            yield frame.assign(form=frame["form"].map(shared.value.syllables), kind="sound")
+
+    return known.unionAll(known.mapInPandas(run, known.schema))
