@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-NAMES = ("training", "relational", "registers", "serve")
+NAMES = ("training", "relational", "registers", "entities", "serve")
 
 
 def modules() -> list[ModuleType]:
