@@ -19,16 +19,25 @@ def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFKC", t) if isinstance(t, str) else t)
 
 
+# Full-width forms of the printable ASCII characters and the blank.
+WIDE, NARROW = "".join(map(chr, range(0xFF01, 0xFF5F))) + "\u3000", "".join(map(chr, range(0x21, 0x7F))) + " "
+
+
+def narrow(text: Column) -> Column:
+    """Full-width characters as ASCII, the part of NFKC that needs no Python; nfkc does the rest."""
+    return F.translate(text, WIDE, NARROW)
+
+
 def clean_text(text: Column, null_like: tuple[str, ...] = NULL_LIKE, keep_lines: bool = False) -> Column:
-    """Without control characters and repeated blanks; null and null-like texts become ''."""
+    """In narrow characters, without control characters and repeated blanks; null and null-like texts become ''."""
     blanks = r"[ \t\f\x0B　 ]+" if keep_lines else r"[\s　 ]+"
-    bare = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x08\x0E-\x1F\x7F]", ""), blanks, " "))
+    bare = F.trim(F.regexp_replace(F.regexp_replace(narrow(F.coalesce(text, F.lit(""))), r"[\x00-\x08\x0E-\x1F\x7F]", ""), blanks, " "))
     return F.when(F.lower(bare).isin(*null_like), F.lit("")).otherwise(bare)
 
 
 def match_text(text: Column) -> Column:
-    """For exact matching: lower case, only Latin letters, digits and Han characters."""
-    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9\\u4e00-\\u9fff]+", "")
+    """For exact matching: in narrow characters and lower case, only Latin letters, digits and Han characters."""
+    return F.regexp_replace(F.lower(narrow(F.coalesce(text, F.lit("")))), "[^a-z0-9\\u4e00-\\u9fff]+", "")
 
 
 def name_key(text: Column) -> Column:

@@ -76,14 +76,26 @@ def feed_page(df: DataFrame, cursor: Sequence[str], after: Sequence | None, limi
     """The next `limit` rows behind a cursor in the order of its columns, and has_more.
 
     The cursor to go on from is that of the last row, so nothing is lost between pages. limit + 1 rows are
-    taken by a top-k, not a full sort.
+    taken by a top-k, not a full sort. The bound of the first column is a plain comparison, which the scan can
+    use to pass over files and row groups.
     """
-    rows = df if after is None else df.where(F.struct(*cursor) > F.struct(*[F.lit(a).cast(df.schema[c].dataType) for a, c in zip(after, cursor, strict=True)]))
+    rows = df if after is None else df.where(_behind(df, cursor, after))
     page = rows.orderBy(*cursor).limit(limit + 1)
     place = F.row_number().over(W.orderBy(*cursor))
     return page.withColumn("__n", place).withColumn("has_more", F.max("__n").over(W.partitionBy()) > limit).where(F.col("__n") <= limit).drop("__n")
 
 
+def _behind(df: DataFrame, cursor: Sequence[str], after: Sequence) -> Column:
+    """Whether a row comes after a place, compared column by column; a null is before every value."""
+    place = [F.lit(a).cast(df.schema[c].dataType) for a, c in zip(after, cursor, strict=True)]
+    if any(a is None for a in after):
+        return F.struct(*cursor) > F.struct(*place)
+    test = F.col(cursor[-1]) > place[-1]
+    for c, a in list(zip(cursor, place, strict=True))[-2::-1]:
+        test = (F.col(c) > a) | ((F.col(c) == a) & test)
+    return (F.col(cursor[0]) >= place[0]) & test
+
+
 def set_differences(df: DataFrame, subject: Sequence[str], order: Sequence[str], item: str) -> DataFrame:
     """(subject, order, added, removed): items of each snapshot of a subject against the snapshot before; the first has none."""
     sets = df.groupBy(*subject, *order).agg(F.array_sort(F.collect_set(item)).alias("items"))

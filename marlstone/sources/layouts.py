@@ -44,11 +44,18 @@ ROLES = {
 
 # The elements of a case and of an assignment that are read.
 CASE = """`serial-number` string, `transaction-date` string, `registration-number` string,
-`case-file-header` struct<`filing-date`:string,`registration-date`:string,`status-code`:string,`status-date`:string,`mark-identification`:string,`attorney-name`:string>,
+`case-file-header` struct<`filing-date`:string,`registration-date`:string,`status-code`:string,`status-date`:string,`mark-identification`:string,`attorney-name`:string,`attorney-docket-number`:string,`domestic-representative-name`:string>,
 `case-file-owners` struct<`case-file-owner`:array<struct<`entry-number`:string,`party-type`:string,`party-name`:string,`address-1`:string,city:string,state:string,country:string>>>,
 classifications struct<classification:array<struct<`primary-code`:string,`status-code`:string,`status-date`:string>>>,
 `case-file-event-statements` struct<`case-file-event-statement`:array<struct<code:string,`date`:string,number:string,type:string,`description-text`:string>>>,
-`case-file-statements` struct<`case-file-statement`:array<struct<`type-code`:string,text:string>>>"""
+`case-file-statements` struct<`case-file-statement`:array<struct<`type-code`:string,text:string>>>,
+correspondent struct<`address-1`:string,`address-2`:string,`address-3`:string,`address-4`:string,`address-5`:string>,
+`design-searches` struct<`design-search`:array<struct<code:string>>>,
+`prior-registration-applications` struct<`prior-registration-application`:array<struct<`relationship-type`:string,number:string>>>,
+`foreign-applications` struct<`foreign-application`:array<struct<`entry-number`:string,`application-number`:string,country:string,`filing-date`:string,`foreign-priority-claim-in`:string>>>,
+`madrid-international-filing-requests` struct<`madrid-international-filing-record`:array<struct<`entry-number`:string,`reference-number`:string,`original-filing-date-uspto`:string,
+`international-registration-number`:string,`international-registration-date`:string,`international-status-code`:string,`international-status-date`:string,`international-renewal-date`:string,
+`madrid-history-events`:struct<`madrid-history-event`:array<struct<`entry-number`:string,code:string,`date`:string,`description-text`:string>>>>>>"""
 ASSIGNMENT = """assignment struct<`reel-no`:string,`frame-no`:string,`date-recorded`:string,`conveyance-text`:string>,
 assignors struct<assignor:array<struct<`person-or-organization-name`:string,`execution-date`:string>>>, assignees struct<assignee:array<struct<`person-or-organization-name`:string,city:string,state:string>>>,
 properties struct<property:array<struct<`serial-no`:string,`registration-no`:string>>>"""
@@ -63,7 +70,8 @@ def read_role(spark: SparkSession, folder: str, role: str, pattern: str = "*.zip
 
 
 def read_cases(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Cases of an application register as tables: case, owner, classification, event, statement."""
+    """Cases of an application register as tables: case, owner, classification, event, statement, correspondent, design,
+    prior_registration, foreign_application, madrid_filing, madrid_event."""
     rows = read_xml(spark, path, "case-file", CASE)
     head = rows.withColumn("serial", first_of(rows, "serial-number")).where("serial is not null")
     fields = {f"{name.replace('-', '_')}": first_of(head, f"case-file-header.{name}") for name in ("filing-date", "registration-date", "status-code", "status-date", "mark-identification", "attorney-name")}
@@ -72,9 +80,27 @@ def read_cases(spark: SparkSession, path: str) -> dict[str, DataFrame]:
         "classification": ("classifications.classification", ["primary-code", "status-code", "status-date"]),
         "event": ("`case-file-event-statements`.`case-file-event-statement`", ["code", "date", "number", "type", "description-text"]),
         "statement": ("`case-file-statements`.`case-file-statement`", ["type-code", "text"]),
+        "design": ("`design-searches`.`design-search`", ["code"]),
+        "prior_registration": ("`prior-registration-applications`.`prior-registration-application`", ["relationship-type", "number"]),
+        "foreign_application": ("`foreign-applications`.`foreign-application`", ["entry-number", "application-number", "country", "filing-date", "foreign-priority-claim-in"]),
+        "madrid_filing": (f"{_MADRID}", [*_FILING]),
     }
     case = head.select("serial", first_of(head, "transaction-date").alias("transaction_date"), first_of(head, "registration-number").alias("registration_number"), *[c.alias(n) for n, c in fields.items()])
-    return {"case": case, **{name: children(head, ["serial"], path_, names) for name, (path_, names) in kids.items()}}
+    lines = [f"address-{k}" for k in range(1, 6)]
+    spoken_for = ["attorney-name", "attorney-docket-number", "domestic-representative-name"]
+    named = {n.replace("-", "_"): first_of(head, f"correspondent.{n}") for n in lines} | {n.replace("-", "_"): first_of(head, f"case-file-header.{n}") for n in spoken_for}
+    correspondent = head.select("serial", *[c.alias(n) for n, c in named.items()]).where(F.coalesce(*named).isNotNull())
+    filings = head.select("serial", F.explode(F.col(_MADRID)).alias("f"))
+    events = filings.select("serial", F.col("f.`entry-number`").alias("filing_entry_number"), F.col("f.`reference-number`").alias("filing_reference_number"), F.explode("f.`madrid-history-events`.`madrid-history-event`").alias("e"))
+    madrid_event = events.select("serial", "filing_entry_number", "filing_reference_number", *[F.col(f"e.`{n}`").alias(n.replace("-", "_")) for n in ("entry-number", "code", "date", "description-text")])
+    tables = {name: children(head, ["serial"], path_, names) for name, (path_, names) in kids.items()}
+    return {"case": case, **tables, "correspondent": correspondent, "madrid_event": madrid_event}
+
+
+_MADRID = "`madrid-international-filing-requests`.`madrid-international-filing-record`"
+_FILING = (
+    "entry-number", "reference-number", "original-filing-date-uspto", "international-registration-number", "international-registration-date", "international-status-code", "international-status-date", "international-renewal-date",
+)
 
 
 def read_assignments(spark: SparkSession, path: str) -> dict[str, DataFrame]:

@@ -203,6 +203,51 @@ def test_layouts(spark, tmp_path):
     assert tuple(tables["assignee"].first())[:2] == ("1", "2") and tables["property"].first()["serial_no"] == "88991234" and tables["assignor"].count() == 0
 
 
+def test_child_families_of_a_case(spark, tmp_path):
+    from marlstone.sources import layouts
+
+    (tmp_path / "c.xml").write_text(
+        "<r><case-file><serial-number>88000001</serial-number><case-file-header><attorney-name>C. Dee</attorney-name></case-file-header><correspondent><address-1>Dee LLP</address-1></correspondent>"
+        "<design-searches><design-search><code>010101</code></design-search><design-search><code>020202</code></design-search></design-searches>"
+        "<prior-registration-applications><prior-registration-application><relationship-type>0</relationship-type><number>123</number></prior-registration-application></prior-registration-applications>"
+        "<foreign-applications><foreign-application><entry-number>1</entry-number><country>DE</country></foreign-application></foreign-applications>"
+        "<madrid-international-filing-requests><madrid-international-filing-record><entry-number>2</entry-number><reference-number>A1</reference-number><madrid-history-events><madrid-history-event><code>NEW</code><entry-number>1</entry-number></madrid-history-event></madrid-history-events></madrid-international-filing-record></madrid-international-filing-requests>"
+        "</case-file><case-file><serial-number>88000002</serial-number></case-file></r>"
+    )
+    tables = layouts.read_cases(spark, str(tmp_path / "c.xml"))
+    assert {n: t.count() for n, t in tables.items()} == {"case": 2, "owner": 0, "classification": 0, "event": 0, "statement": 0, "design": 2, "prior_registration": 1, "foreign_application": 1, "madrid_filing": 1, "correspondent": 1, "madrid_event": 1}
+    assert tables["correspondent"].first()["attorney_name"] == "C. Dee" and tables["madrid_event"].first()["filing_reference_number"] == "A1"
+
+
+def test_proceedings_in_three_layouts(spark, tmp_path):
+    from marlstone.sources import proceedings
+
+    (tmp_path / "1.xml").write_text(
+        "<r><proceeding-entry><number>91 200001</number><type-code>OPP</type-code><filing-date>20240105</filing-date><status-code>5</status-code><party-information><party><identifier>7</identifier><role-code>P</role-code><name>Ada Co</name>"
+        "<property-information><property><serial-number>88 000 001</serial-number><mark-text>ADA</mark-text></property></property-information></party></party-information>"
+        "<prosecution-history><prosecution-entry><identifier>1</identifier><code>FILED</code><date>20240105</date><due-date>02/14/2024</due-date></prosecution-entry></prosecution-history></proceeding-entry>"
+        "<proceeding-entry><number>none</number></proceeding-entry></r>"
+    )
+    (tmp_path / "2.xml").write_text(
+        '<r><proceeding><proceeding-attributes><proceeding-number>91200002</proceeding-number><proceeding-type name="Opposition">OPP</proceeding-type><interlocutory-attorney><first-name>L</first-name><last-name>M</last-name></interlocutory-attorney></proceeding-attributes>'
+        '<proceeding-parties><defendants><party name="Bo Ltd"><ttab-properties><ttab-property><serial-number>88000001</serial-number></ttab-property></ttab-properties></party></defendants></proceeding-parties>'
+        '<prosecution-history><prosecution-history-event identifier="3" entry-date="2024-02-01" event-text="ANSWER"/></prosecution-history></proceeding></r>'
+    )
+    (tmp_path / "3.xml").write_text(
+        "<r><proceeding-record><proceeding-number>92000003</proceeding-number><status-text>Open</status-text><plaintiff><party-name>Cy</party-name><property><serial-number>77</serial-number></property></plaintiff><history-entry><entry-number>1</entry-number><history-text>x</history-text></history-entry></proceeding-record>"
+        "<proceeding-record><proceeding-number>91200001</proceeding-number><status-text>later</status-text></proceeding-record></r>"
+    )
+    tables = proceedings.read_proceedings(spark, str(tmp_path))
+    heads = {r["number"]: (r["type"], r["type_code"], r["status"], r["attorney"], str(r["filing_date"])) for r in tables["proceeding"].collect()}
+    assert heads == {"91200001": ("", "OPP", "", None, "2024-01-05"), "91200002": ("Opposition", "OPP", "", "L M", "None"), "92000003": (None, "", "Open", "", "None")}
+    assert {(r["number"], r["side"], r["name"]) for r in tables["party"].collect()} == {("91200001", "ROLE_P", "Ada Co"), ("91200002", "DEFENDANT", "Bo Ltd"), ("92000003", "PLAINTIFF", "Cy")}
+    assert {(r["number"], str(r["filing_date"]), str(r["due_date"])) for r in tables["docket"].collect()} == {("91200001", "2024-01-05", "2024-02-14"), ("91200002", "2024-02-01", "None"), ("92000003", "None", "None")}
+    shot = {r["number"]: (r["parties"], r["properties"], r["entries"], str(r["next_due"])) for r in proceedings.proceeding_snapshot(tables).collect()}
+    assert shot["91200001"] == (1, 1, 1, "2024-02-14")
+    asked = spark.createDataFrame([("88000001",)], "serial_number string")
+    assert {(r["number"], r["side"]) for r in proceedings.proceedings_of(tables, asked).collect()} == {("91200001", "ROLE_P"), ("91200002", "DEFENDANT")}
+
+
 def test_case_360_holds_all_owners(spark, data, tmp_path):
     from marlstone.plans import serve
 
