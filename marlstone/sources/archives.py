@@ -9,6 +9,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Code pages that register files come in, in order of preference.
 ENCODINGS = ("utf-8-sig", "utf-8", "gb18030", "utf-16", "big5", "cp1252", "latin-1")
@@ -52,6 +54,35 @@ def repaired_name(info: zipfile.ZipInfo, terms: tuple[str, ...] = ()) -> str:
     return max(names, key=lambda n: (_quality(n, terms), -names.index(n)))
 
 
+# Characters that show text decoded by the wrong code page, and words of the register's texts.
+MARKERS = ("ä", "å", "æ", "ç", "è", "é", "ï¼", "Â", "Ã", "锛", "锝", "鍙", "鍚", "鍏", "鍟", "鐢", "鐮", "浠", "悊", "浜", "�")
+EXPECTED = ("公司", "商标", "注册", "申请", "商品", "代理", "地址", "有限")
+WRONG_PAGES = ("gb18030", "gbk", "latin-1", "cp1252")
+
+
+def _readable(cell: str) -> int:
+    """Han characters and expected words speak for a cell, marks of wrong decoding and lost characters against it."""
+    marks = sum(map(cell.count, MARKERS))
+    return 2 * len(re.findall("[一-鿿]", cell)) + 100 * sum(map(cell.count, EXPECTED)) - 80 * marks - 300 * cell.count("�")
+
+
+def repaired_cell(cell: str | None) -> str | None:
+    """A cell that was decoded by a wrong code page, read again as what looks best; others, null and '' as they are.
+
+    A reading may not lose more characters than the cell had lost already.
+    """
+    if not cell or not any(m in cell for m in MARKERS):
+        return cell
+    read = [cell.encode(page, "replace").decode("utf-8", "replace") for page in WRONG_PAGES]
+    best = max([cell, *(r for r in read if r.count("�") <= cell.count("�"))], key=_readable)
+    return best if _readable(best) > _readable(cell) else cell
+
+
+@F.pandas_udf(StringType())
+def repaired_cells(cells: pd.Series) -> pd.Series:
+    return cells.map(repaired_cell, na_action="ignore")
+
+
 def members(data: bytes, terms: tuple[str, ...] = (), path: str = "", depth: int = DEPTH) -> Iterator[tuple[str, bytes]]:
     """(name, bytes) of the files of an archive, those of archives inside it under both names, to a depth of two."""
     with zipfile.ZipFile(io.BytesIO(data)) as archive:
