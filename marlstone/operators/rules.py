@@ -54,8 +54,3 @@ def schedule(df: DataFrame, start: str, step_months: int, terms: int, as_of: Col
     rows = rows.withColumn("opens", F.add_months("due", -12)).withColumn("grace_until", F.add_months("due", 6))
     state = ladder([(as_of < F.col("opens"), "FUTURE"), (as_of <= F.col("due"), "OPEN_REGULAR"), (as_of <= F.col("grace_until"), "OPEN_GRACE")], "PAST_DEADLINE")
     return rows.withColumn("state", state)
-
-
-def latest_of_each(df: DataFrame, keys: Sequence[str], count: int, order: Sequence[Column]) -> DataFrame:
-    """At most `count` rows per key by an order: a deterministic report sample."""
-    return df.withColumn("place", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("place") <= count)

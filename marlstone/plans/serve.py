@@ -102,7 +102,7 @@ def _directory(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {"case_360": _case_360, "event_feed": _feed, "person_directory": _directory}
 ORACLE = {
-    "case_360": """WITH o AS (SELECT * FROM us_owner_current QUALIFY row_number() OVER (PARTITION BY owner_key ORDER BY source_rank DESC, row_id DESC) = 1), oc AS (SELECT serial_number, least(count(*), 50)::int AS n FROM o WHERE coalesce(is_deleted, 0) = 0 GROUP BY 1),
+    "case_360": """WITH o AS (SELECT * FROM us_owner_current QUALIFY row_number() OVER (PARTITION BY owner_key ORDER BY source_rank DESC, row_id DESC) = 1), oc AS (SELECT serial_number, count(*)::int AS n FROM o WHERE coalesce(is_deleted, 0) = 0 GROUP BY 1),
 e AS (SELECT serial_number, least(count(*), 5)::int AS n, first(event_code ORDER BY event_date DESC NULLS LAST, source_rank DESC, row_id DESC) AS code FROM us_event_history GROUP BY 1), t AS (SELECT DISTINCT serial_number FROM trademark_asset),
 s AS (SELECT serial_number FROM oc UNION SELECT serial_number FROM e UNION SELECT serial_number FROM t)
 SELECT s.serial_number, coalesce(oc.n, 0) AS owners, coalesce(e.n, 0) AS events, e.code AS last_code FROM s LEFT JOIN oc USING (serial_number) LEFT JOIN e USING (serial_number)""",
