@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 # Marks that say "nothing here".
 NOTHING = frozenset(
     "无 暂无 没有 未知 不详 空 - -- --- — —— – / \\ . * ? n/a na n.a. none null nil nan unknown #n/a".split()
@@ -45,7 +47,7 @@ LOOSE = {
     "wide slash": r"\s*／\s*",
     "ampersand": r"\s*[&＆]\s*",
     "spaced plus": r"\s+\+\s+",
-    "plus": r"\s*\+\s*",
+    "plus": r"(?<=[A-Za-z\d)）])(?<!\bor)(?<!\band)\s*\+\s*",  # behind a value, not at the head of an international number
     "or": r"\s+or\s+|\s*或者?\s*",
     "and": r"\s+and\s+|\s*(?:和|及|与)\s*",
     "list mark": r"(?:^|\s+)(?:[(（]\d{1,2}[)）]|\d{1,2}[.)）])\s+",
@@ -234,15 +236,19 @@ def _explained(piece: str, kind: str, names: list[str]) -> list[tuple[str, float
     expected = max(1, len(_NUMBER[kind].findall(piece)))
     best = None
     for name in present:
-        rest = [n for n in present if n != name]
         parts = _pattern(name).split(piece)
-        values = [v for p in parts for v in _split(p, kind, rest)]
-        if not values or sum(not is_nothing(_bare(p)) for p in parts) < 2:
+        if sum(not is_nothing(_bare(p)) for p in parts) < 2:
             continue  # a mark at the end cuts nothing
+        rest = [n for n in present if n != name]
+        values = [v for p in parts for v in _split(p, kind, rest)]
+        if not values:
+            continue
         good = sum(regular(v, kind) for v in values) / len(values)
         even = min(len(values), expected) / max(len(values), expected)
         if best is None or good * even > best[1] * best[2]:
             best = (name, good, even, parts, rest)
+            if good * even == 1:
+                break
     if best is None or not best[1]:
         return [(n, 0.0, 0.0) for n in present]
     return [best[:3], *(x for p in best[3] for x in _explained(p, kind, best[4]))]
@@ -254,7 +260,10 @@ def score_cell(cell: str | None, kind: str) -> list[tuple[str, float | None, flo
     if cell is None or is_nothing(cell.strip(BLANKS)):
         return []
     pieces = [_edges(p) for p, q in segments(cell) if not q and p.strip(BLANKS)]
-    present = dict.fromkeys(n for p in pieces for n in candidates(p, kind) if kind == "text" or not regular(_bare(p), kind))
+    if kind != "text":
+        pieces = [p for p in pieces if not regular(_bare(p), kind)]
+    of = [candidates(p, kind) for p in pieces]
+    present = dict.fromkeys(n for names in of for n in names)
     out: list[tuple[str, float | None, float | None]] = []
     if kind == "text":
         for name in present:
@@ -263,8 +272,8 @@ def score_cell(cell: str | None, kind: str) -> list[tuple[str, float | None, flo
                 out.append((name, sum(len(v.split()) <= SHORT_PIECE for v in parts) / len(parts), 1.0))
         return out
     found: dict[str, list[tuple[float, float]]] = {}
-    for piece in pieces:
-        for name, good, even in _explained(piece, kind, candidates(piece, kind)):
+    for piece, names in zip(pieces, of, strict=True):
+        for name, good, even in _explained(piece, kind, names):
             found.setdefault(name, []).append((good, even))
     for name in present:
         cuts = found.get(name)
@@ -290,7 +299,8 @@ def delimiter_scores(cells: DataFrame, source: str, field: str, cell: str) -> Da
         counted = [(ALL_CELLS, 1.0, 1.0)]
         return pd.Series([score_cell(t, KINDS[f]) if f in KINDS else score_cell(t, "text") + counted for t, f in zip(texts, fields, strict=True)])
 
-    each = (
+    # a row per source, field and delimiter, kept so that the cells are scored once for both its readers
+    each = checkpoint(
         cells.where(F.col(cell).isNotNull())
         .select(source, field, F.explode(scored(F.col(cell), F.col(field))).alias("s"))
         .groupBy(source, field, F.col("s.delimiter").alias("delimiter"))
