@@ -259,12 +259,12 @@ def _viterbi(scores: np.ndarray, batch: list[tuple[np.ndarray, np.ndarray]]) ->
 @dataclass(frozen=True)
 class Labelled:
     """A sentence with its words' languages: lang leads, margin is its log odds to the next one, size the words that speak
-    for it (0 if the sentence is in several languages); path has the language of each word."""
+    for it (0 if the sentence is in several languages); path has the place of each word's language in the model."""
 
     offset: int
     sentence: str
     words: list[str]
-    path: list[str]
+    path: np.ndarray
     lang: str
     margin: float
     size: int
@@ -308,24 +308,29 @@ def label_texts(model: Model, texts: list[str | None]) -> Iterator[list[Labelled
 
 def _labelled(model: Model, offset: int, sentence: str, words: list[str], path: np.ndarray, rows: np.ndarray) -> Labelled:
     size = len(model.scores) - len(SCRIPTS)
-    script = np.where(rows < size + 2, 0, rows - size)  # Latin, Kana and Han words are judged together
     lead = int(np.bincount(path).argmax())
-    of = list(SCRIPTS).index(model.languages[lead]) if model.languages[lead] in SCRIPTS else 0
-    own = script == (of if of > 1 else 0)
-    # fewer words of another script are a name or mark that the sentence quotes
-    if 2 * own.sum() < len(own):
-        own[:] = True
-    names = [model.languages[x] for x in path]
-    total = model.scores[rows[own]].sum(0)
-    margin = float(total[lead] - max(np.delete(total, lead), default=0))
-    if (path[own] == lead).mean() < 0.8:
-        return Labelled(offset, sentence, words, names, model.languages[lead], margin, 0)
+    lang = model.languages[lead]
+    own = None  # all words, unless the sentence quotes words of another script
+    if rows.max() >= size + 2:
+        script = np.where(rows < size + 2, 0, rows - size)  # Latin, Kana and Han words are judged together
+        of = list(SCRIPTS).index(lang) if lang in SCRIPTS else 0
+        own = script == (of if of > 1 else 0)
+        # fewer words of another script are a name or mark; as many are the sentence's own
+        own = own if 2 * own.sum() >= len(own) else None
+    kept = rows if own is None else rows[own]
+    total = model.scores[kept].sum(0)
+    top, total[lead] = float(total[lead]), -np.inf
+    margin = top - float(total.max())
+    pure = np.count_nonzero((path if own is None else path[own]) == lead)
+    if pure < 0.8 * len(kept):
+        return Labelled(offset, sentence, words, path, lang, margin, 0)
     # single letters are mostly initials; of a text without blanks its own characters count
-    if model.languages[lead] in _UNSPACED:
-        held = sum(len(w) for w, o in zip(words, own, strict=True) if o and not w.isascii() and script_of(w) is not None)
+    if lang in _UNSPACED:
+        held = sum(len(w) for k, w in enumerate(words) if (own is None or own[k]) and not w.isascii() and script_of(w) is not None)
     else:
-        held = sum(len(w) > 1 for w, hit in zip(words, model.scores[rows, lead] > 0.5, strict=True) if hit)
-    return Labelled(offset, sentence, words, names, model.languages[lead], margin, held)
+        long = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) > 1
+        held = int(np.count_nonzero(long & (model.scores[rows, lead] > 0.5)))
+    return Labelled(offset, sentence, words, path, lang, margin, held)
 
 
 def _whole(found: Labelled) -> bool:
@@ -352,7 +357,7 @@ def segments(model: Model, text: str, found: list[Labelled]) -> list[tuple[int,
         whole = _whole(one)
         cuts = [0] if one.size else [0, *(k for k in range(1, len(one.path)) if one.path[k] != one.path[k - 1])]
         for low, high in zip(cuts, [*cuts[1:], len(one.words)], strict=True):
-            lang = one.lang if one.size else one.path[low]
+            lang = one.lang if one.size else model.languages[one.path[low]]
             start = end = None
             for word in one.words[low:high]:
                 hit = next((k for k in range(at, min(at + LOOK_AHEAD, len(places))) if places[k][0] == word), None)
