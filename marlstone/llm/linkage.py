@@ -62,6 +62,18 @@ def row_pairs(rows: DataFrame, entities: DataFrame) -> DataFrame:
     return pairs.join(left, "ta").join(right, "tb").select(F.least("ra", "rb").alias("row_id_a"), F.greatest("ra", "rb").alias("row_id_b"))
 
 
+def class_rows(rows: DataFrame, entities: DataFrame) -> DataFrame:
+    """(row_id, entity, links) of the rows whose text has an entity; links: the entity's rows of other texts.
+
+    rows: row_id, text_id; entities: text_id, entity. Counts are taken per text first, so an entity of very
+    many rows is never one group of rows.
+    """
+    texts = rows.groupBy("text_id").agg(F.count("*").alias("own")).join(entities, "text_id")
+    whole = texts.groupBy("entity").agg(F.sum("own").alias("all"))
+    counted = texts.join(whole, "entity").select("text_id", "entity", (F.col("all") - F.col("own")).alias("links"))
+    return rows.join(counted, "text_id").select("row_id", "entity", "links")
+
+
 def with_text_ids(rows: DataFrame, row_id: str, text: str) -> DataFrame:
     """(row_id, text, text_id): rows with a text, the id being a 64-bit hash of the text as it stands."""
     return rows.select(F.col(row_id).cast("bigint").alias("row_id"), F.col(text).alias("text")).where("text is not null and trim(text) <> ''").withColumn("text_id", F.xxhash64("text"))

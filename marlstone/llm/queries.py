@@ -13,17 +13,34 @@ EXPORT_DAY = "2026-06-30"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
+def _named(spark: SparkSession, sf_dir: str) -> names.Tables:
+    applicants, people = table(spark, sf_dir, "cn_stage_applicant"), table(spark, sf_dir, "person")
+    return {"cn_stage_applicant": (applicants, "row_id", "raw_name", "company", "raw_address"), "person": (people, "row_id", "normalized_name", "person", None)}
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of rows that name one company or one person in different texts."""
+    return names.same_names(_named(spark, sf_dir))
+
+
+def p3_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The company or person of each row, with its number of links."""
+    return names.named_entities(_named(spark, sf_dir))
+
+
+def _addressed(spark: SparkSession, sf_dir: str) -> tuple[addresses.Tables, DataFrame, str]:
     applicants, people = table(spark, sf_dir, "cn_stage_applicant"), table(spark, sf_dir, "person")
-    return names.same_names({"cn_stage_applicant": (applicants, "row_id", "raw_name", "company", "raw_address"), "person": (people, "row_id", "normalized_name", "person", None)})
+    return {"cn_stage_applicant": (applicants, "row_id", "raw_address"), "person": (people, "row_id", "canonical_name")}, applicants, "city"
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of rows that give one place in different texts."""
-    applicants, people = table(spark, sf_dir, "cn_stage_applicant"), table(spark, sf_dir, "person")
-    tables = {"cn_stage_applicant": (applicants, "row_id", "raw_address"), "person": (people, "row_id", "canonical_name")}
-    return addresses.same_places(tables, applicants, "city")
+    return addresses.same_places(*_addressed(spark, sf_dir))
+
+
+def p4_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each row that shares it with another text, with its number of links."""
+    return addresses.placed_rows(*_addressed(spark, sf_dir))
 
 
 def _grouped_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +101,9 @@ def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p3_found": p3_found,
+    "p3_entities": p3_entities,
     "p4_found": p4_found,
+    "p4_places": p4_places,
     "p5_found": p5_found,
     "p5_survivors": p5_survivors,
     "p6_ids": p6_ids,
