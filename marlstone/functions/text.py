@@ -105,3 +105,15 @@ def flag(text: Column) -> Column:
     """True, false, or null for texts that mean neither."""
     bare = F.lower(F.trim(text.cast("string")))
     return F.when(bare.isin("1", "t", "true", "y", "yes", "是"), True).when(bare.isin("0", "f", "false", "n", "no", "否"), False)
+
+
+# What a company's name ends with in Chinese, and the words of legal forms in other names.
+COMPANY_ENDS = ("有限公司", "有限责任公司", "股份有限公司", "集团", "公司", "工厂", "厂", "商行", "合作社", "研究院", "研究所", "事务所", "中心", "企业", "合伙企业")
+COMPANY_WORDS = r"(?i)(?:^|[^a-z])(?:co\.?,? ?ltd|limited|ltd|inc|incorporated|corp|corporation|llc|plc|gmbh|ag|s\.?a\.?|b\.?v|pty|company)(?:[^a-z]|$)"
+
+
+def company_signal(name: Column) -> Column:
+    """Whether a name has the form of a company's: a Chinese ending or a word of a legal form; false for null and blank."""
+    bare = F.regexp_replace(F.coalesce(name, F.lit("")), r"[\s　，,。.;；]+$", "")
+    compact = F.regexp_replace(bare, r"[\s　]", "")
+    return compact.rlike(f"(?:{'|'.join(COMPANY_ENDS)})$") | bare.rlike(COMPANY_WORDS)

@@ -87,3 +87,14 @@ def flag_counts(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
     """(flag, rows): how many rows each condition holds for; a row may count for several."""
     hits = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in flags.items()]))
     return df.select(F.explode(hits).alias("flag")).groupBy("flag").agg(F.count("*").alias("rows"))
+
+
+def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(field, filled, blank, missing, least, greatest) of text columns: rows with a value, blank ones, nulls, and the extreme values.
+
+    One pass of partial aggregates over all rows.
+    """
+    text = lambda c: F.col(c).cast("string")
+    known = lambda c: F.when(F.trim(text(c)) != "", text(c))
+    facts = [F.struct(F.lit(c).alias("field"), F.count(known(c)).alias("filled"), F.count_if(F.trim(text(c)) == "").alias("blank"), F.count_if(F.col(c).isNull()).alias("missing"), F.min(known(c)).alias("least"), F.max(known(c)).alias("greatest")) for c in columns]
+    return df.agg(F.array(*facts).alias("x")).select(F.explode("x").alias("x")).select("x.*")

@@ -209,3 +209,22 @@ def country_evidence(spark, d):
     scored = known.groupBy("id", "country").agg(F.round(summaries.noisy_or(F.col("w")), 4).alias("score"))
     alone = scored.groupBy("id").agg(F.count("*").alias("n"))
     return scored.join(alone, "id").select("id", "country", "score", ((F.col("score") >= 0.8) & (F.col("n") == 1)).alias("accepted"))
+
+
+_SIGNAL = "regexp_matches(regexp_replace(regexp_replace(coalesce(raw_name, ''), '[\\s　，,。.;；]+$', ''), '[\\s　]', '', 'g'), '(?:" + "|".join(text.COMPANY_ENDS) + ")$') OR regexp_matches(regexp_replace(coalesce(raw_name, ''), '[\\s　，,。.;；]+$', ''), '" + text.COMPANY_WORDS + "')"
+
+
+@query(f"SELECT coalesce(country_code, '') AS country_code, count(*) AS applicants, count(*) FILTER ({_SIGNAL}) AS companies FROM cn_stage_applicant GROUP BY 1")
+def company_signals(spark, d):
+    """F-13: applicants with the name of a company, by country."""
+    rows = table(spark, d, "cn_stage_applicant").select(F.coalesce("country_code", F.lit("")).alias("country_code"), text.company_signal(F.col("raw_name")).alias("signal"))
+    return rows.groupBy("country_code").agg(F.count("*").alias("applicants"), F.count_if("signal").alias("companies"))
+
+
+_PROFILED = ("party_name", "address_1", "city", "state", "country", "nationality_country")
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS field, count(*) FILTER (trim({c}) <> '') AS filled, count(*) FILTER (trim({c}) = '') AS blank, count(*) FILTER ({c} IS NULL) AS missing, min({c}) FILTER (trim({c}) <> '') AS least, max({c}) FILTER (trim({c}) <> '') AS greatest FROM us_owner_current" for c in _PROFILED))
+def owner_profile(spark, d):
+    """Q-9: how the columns of the owners are filled."""
+    return summaries.profile(table(spark, d, "us_owner_current"), _PROFILED)

@@ -79,3 +79,22 @@ def key_values(df: DataFrame, text: str, wanted: dict[str, Sequence[str]], line:
         return F.get(F.transform(F.filter("__kv", lambda p: p["k"].isin(*keys) & (p["v"] != "")), lambda p: p["v"]), F.lit(0))
 
     return rows.select(*df.columns, *[first((name, *aliases)).alias(name) for name, aliases in wanted.items()])
+
+
+def latest_assignments(records: DataFrame, parts: dict[str, DataFrame], serials: DataFrame | None = None, keys: Sequence[str] = ("reel", "frame"), order: Sequence[str] = ("source_rank", "package_id"), package: str = "package_id") -> DataFrame:
+    """One row per recorded assignment: its latest record, and of that delivery only the parts as ordered arrays.
+
+    records: keys, order and the record's columns; parts: name to rows with keys, package, ordinal; one of them is
+    `property` with serial_number. With serials (serial_number) only the assignments that name one of them in
+    their latest delivery come back, so a property that a later delivery took out does not count.
+    """
+    rest = [c for c in records.columns if c not in keys]
+    latest = records.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*keys, *[F.col("r")[c].alias(c) for c in rest])
+    if serials is not None:
+        named = parts["property"].join(serials.select("serial_number").distinct(), "serial_number", "left_semi")
+        latest = latest.join(named.select(*keys, package).distinct(), [*keys, package], "left_semi")
+    for name, rows in parts.items():
+        fields = [c for c in rows.columns if c not in (*keys, package)]
+        ordered = F.array_sort(F.collect_list(F.struct("ordinal", *[f for f in fields if f != "ordinal"]))).alias(name)
+        latest = latest.join(rows.join(latest.select(*keys, package), [*keys, package], "left_semi").groupBy(*keys).agg(ordered), list(keys), "left")
+    return latest

@@ -103,3 +103,28 @@ def test_cells_in_the_wrong_code_page(spark):
     df = spark.createDataFrame([(k, c) for k, c in enumerate([text, wrong[0], None, "", "café", wrong[1]])], "k int, c string")
     got = [r[0] for r in df.orderBy("k").select(archives.repaired_cells("c")).collect()]
     assert got[:5] == [text, text, None, "", "café"] and got[5].startswith("上海商标")
+
+
+def test_latest_assignments_of_a_serial(spark):
+    from marlstone.sources.registers import latest_assignments
+
+    records = spark.createDataFrame([("1", "2", 1, "p1", "old"), ("1", "2", 2, "p2", "new"), ("3", "4", 1, "p1", "other")], "reel string, frame string, source_rank int, package_id string, conveyance string")
+    parts = {
+        "property": spark.createDataFrame([("1", "2", "p1", 1, "S1"), ("1", "2", "p1", 2, "S2"), ("1", "2", "p2", 2, "S2"), ("1", "2", "p2", 1, "S3"), ("3", "4", "p1", 1, "S9")], "reel string, frame string, package_id string, ordinal int, serial_number string"),
+        "assignee": spark.createDataFrame([("1", "2", "p1", 1, "A"), ("1", "2", "p2", 1, "B")], "reel string, frame string, package_id string, ordinal int, name string"),
+    }
+    out = {(r["reel"], r["conveyance"]): ([x["serial_number"] for x in r["property"]], [x["name"] for x in r["assignee"] or []]) for r in latest_assignments(records, parts).collect()}
+    assert out == {("1", "new"): (["S3", "S2"], ["B"]), ("3", "other"): (["S9"], [])}
+    asked = lambda s: latest_assignments(records, parts, spark.createDataFrame([(s,)], "serial_number string")).count()
+    assert (asked("S1"), asked("S2"), asked("S9"), asked("S0")) == (0, 1, 1, 0)  # S1 was taken out by the later delivery
+
+
+def test_company_signals_and_profiles(spark):
+    from marlstone.functions import text
+    from marlstone.operators import summaries
+
+    names = ["Acme Co., Ltd", "Acme Limited.", "甲乙有限公司；", "张三", "Incan Gold", "", None, "某某厂", "ACME LLC"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    assert [r[0] for r in df.select(text.company_signal(F.col("n"))).collect()] == [True, True, True, False, False, False, False, True, True]
+    assert tuple(summaries.profile(df, ["n"]).first()) == ("n", 7, 1, 1, "ACME LLC", "甲乙有限公司；")
+    assert tuple(summaries.profile(df.where("false"), ["n"]).first())[1:4] == (0, 0, 0)
