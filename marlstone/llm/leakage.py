@@ -149,33 +149,45 @@ def _retyped(word: str, others: list[str]) -> bool:
     return False
 
 
-def _seed_rows(texts: DataFrame, key: str, text: str, wanted: np.ndarray | None) -> DataFrame:
-    """(k, seed, places, words) of each text, a row per distinct seed; only the wanted seeds where they are given.
+def _texts(texts: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
+    return texts.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k is not null and t is not null"), dict(texts.dtypes)[key]
 
-    places: how often the seed stands in the text; words: the text's number of words.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast(wanted)  # None or at most SEED_BOUND numbers
-    kind = dict(texts.dtypes)[key]
+
+def _item_seeds(items: DataFrame, key: str, text: str) -> DataFrame:
+    """(item, seed, places, words) of each item, a row per distinct seed; places: how often it stands there; words: of the item."""
+    rows, kind = _texts(items, key, text)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        want = shared.value
         for frame in batches:
-            keys, seeds, places, sizes = [], [], [], []
+            out = []
             for k, t in zip(frame["k"], frame["t"], strict=True):
                 words = split_words(t)
-                own, times = np.unique(rolling(codes(words)).astype(np.int64), return_counts=True)
+                seeds, places = np.unique(rolling(codes(words)).astype(np.int64), return_counts=True)
+                out += [(k, s, p, len(words)) for s, p in zip(seeds.tolist(), places.tolist(), strict=True)]
+            yield pd.DataFrame(out, columns=["item", "seed", "places", "words"])
+
+    return rows.mapInPandas(run, f"item {kind}, seed bigint, places int, words int")
+
+
+def _document_seeds(documents: DataFrame, key: str, text: str, wanted: np.ndarray | None) -> DataFrame:
+    """(k, seed) of each document, distinct; only the wanted seeds where they are given."""
+    shared = documents.sparkSession.sparkContext.broadcast(wanted)  # None or at most SEED_BOUND numbers
+    rows, kind = _texts(documents, key, text)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        want = shared.value
+        for frame in batches:
+            keys, seeds = [], []
+            for k, t in zip(frame["k"], frame["t"], strict=True):
+                own = rolling(codes(split_words(t))).astype(np.int64)
                 if want is not None and len(want):
-                    kept = want[np.minimum(np.searchsorted(want, own), len(want) - 1)] == own
-                    own, times = own[kept], times[kept]
-                keys.append(np.repeat(np.array([k]), len(own)))
-                seeds.append(own)
-                places.append(times)
-                sizes.append(np.repeat(len(words), len(own)))
-            joined = [np.concatenate(x) if x else [] for x in (keys, seeds, places, sizes)]
-            yield pd.DataFrame(dict(zip(("k", "seed", "places", "words"), joined, strict=True)))
+                    own = own[want[np.minimum(np.searchsorted(want, own), len(want) - 1)] == own]
+                if len(own := np.unique(own)):
+                    keys.append(np.repeat(np.array([k]), len(own)))
+                    seeds.append(own)
+            yield pd.DataFrame({"k": np.concatenate(keys) if keys else [], "seed": np.concatenate(seeds) if seeds else []})
 
-    rows = texts.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k is not null and t is not null")
-    return rows.mapInPandas(run, f"k {kind}, seed bigint, places int, words int")
+    return rows.mapInPandas(run, f"k {kind}, seed bigint")
 
 
 def leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", share: float = SHARE) -> DataFrame:
@@ -187,12 +199,12 @@ def leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", item: str
     document travels only with its candidates: those that share least_seeds of the item, which no document of
     the asked coverage falls short of. Seeds up to SEED_BOUND are broadcast, more are joined; the rows are the same.
     """
-    item_seeds = _seed_rows(items, item, text, None).withColumnRenamed("k", "item")
+    item_seeds = _item_seeds(items, item, text)
     distinct = item_seeds.select("seed").distinct()
     count = distinct.count()
     wanted = np.sort(distinct.toArrow()["seed"].to_numpy()) if count <= SEED_BOUND else None
     least = (F.lit(share) * F.col("words") + REACH) / (SEED + REACH)
-    shared = _seed_rows(documents, doc, text, wanted).select("k", "seed").join(item_seeds, "seed").groupBy("k", "item", "words").agg(F.sum("places").alias("common"))
+    shared = _document_seeds(documents, doc, text, wanted).join(item_seeds, "seed").groupBy("k", "item", "words").agg(F.sum("places").alias("common"))
     pairs = shared.where(F.col("common") >= least).select("k", "item")
     right = items.select(F.col(item).alias("item"), F.col(text).alias("passage"))
     asked = pairs.join(right, "item").groupBy("k").agg(F.collect_list(F.struct("item", "passage")).alias("items"))
