@@ -24,13 +24,19 @@ class Han:
 
 
 def load(spark: SparkSession) -> Han:
-    """The tables of the basic block, of one size whatever the data; empty if this Spark has no transliterator."""
+    """The tables of the basic block, of one size whatever the data.
+
+    Without them links by sound and between traditional and simplified forms would be missing from a result that
+    looks whole, so a transliterator that is absent, fails or changes nothing is an error.
+    """
     chars = [chr(c) for c in range(FIRST, LAST + 1)]
     try:
         of = spark._jvm.com.ibm.icu.text.Transliterator.getInstance
         joined = "\n".join(chars)
         sounds = of("Han-Latin; Latin-ASCII; Lower").transliterate(joined).split("\n")
         simple = of("Hant-Hans").transliterate(joined).split("\n")
-    except Exception:  # noqa: BLE001 - py4j raises what the missing class raises
-        return Han({}, {})
+    except Exception as error:  # py4j raises what the missing class raises
+        raise RuntimeError("readings of Han characters need the transliterator of Spark's icu4j, which is absent or failed") from error
+    if chars in (sounds, simple):
+        raise RuntimeError("the transliterator of icu4j gives no readings or no simplified forms of Han characters")
     return Han({ord(a): b for a, b in zip(chars, simple, strict=True) if a != b}, {a: b.strip() for a, b in zip(chars, sounds, strict=True)})

@@ -1,6 +1,7 @@
 """Names: readers, and links against brute force over a fixture."""
 
 from itertools import combinations
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +140,31 @@ def test_classes_hold_the_same_links_as_the_pairs(spark):
     got = {r["row_id"]: (r["entity"], r["links"]) for r in named_entities(tables).collect()}
     assert {k: n for k, (_, n) in got.items()} == {**{k: 0 for k in range(5)}, **links} and len({e for e, _ in got.values()}) == 2
     assert named_entities({"t": (df.where("false"), "row_id", "n", "company", None)}).count() == 0
+
+
+class Jvm:
+    """The session's JVM with another package in the place of com."""
+
+    def __init__(self, real, com):
+        self._real, self.com = real, com
+
+    def __getattr__(self, name):
+        return getattr(self._real, name)
+
+
+def test_names_without_readings_of_han_are_an_error(spark, monkeypatch):
+    df = spark.createDataFrame([(i, n, None) for i, n, _ in COMPANIES], "row_id bigint, raw_name string, raw_address string")
+    monkeypatch.setattr(spark, "_jvm", Jvm(spark._jvm, spark._jvm.nosuch))
+    for address in (None, "raw_address"):
+        with pytest.raises(RuntimeError, match="icu4j"):
+            pairs(df, "raw_name", "company", address)
+    with pytest.raises(RuntimeError, match="icu4j"):
+        named_entities({"t": (df, "row_id", "raw_name", "company", None)})
+
+
+def test_a_transliterator_that_changes_nothing_is_an_error():
+    same = SimpleNamespace(transliterate=lambda text: text)
+    text = SimpleNamespace(Transliterator=SimpleNamespace(getInstance=lambda _: same))
+    com = SimpleNamespace(ibm=SimpleNamespace(icu=SimpleNamespace(text=text)))
+    with pytest.raises(RuntimeError, match="no readings"):
+        load(SimpleNamespace(_jvm=SimpleNamespace(com=com)))
