@@ -102,3 +102,21 @@ def test_classes_hold_the_same_links_as_the_pairs(spark):
         for i in r[1:]:
             links[i] = links.get(i, 0) + 1
     assert {r["row_id"]: r["links"] for r in placed_rows({"t": (df, "row_id", "addr")}, df, "city").collect() if r["links"]} == links
+
+
+class Jvm:
+    """The session's JVM without the transliterator."""
+
+    def __init__(self, real):
+        self._real, self.com = real, real.nosuch
+
+    def __getattr__(self, name):
+        return getattr(self._real, name)
+
+
+def test_places_without_readings_of_han_are_an_error(spark, monkeypatch):
+    df = spark.createDataFrame([(i, t, c) for i, t, c, _ in ROWS], "row_id bigint, addr string, city string")
+    monkeypatch.setattr(spark, "_jvm", Jvm(spark._jvm))
+    for places in (same_places, placed_rows):
+        with pytest.raises(RuntimeError, match="icu4j"):
+            places({"t": (df, "row_id", "addr")}, df, "city")
