@@ -495,39 +495,39 @@ def place_entities(texts: DataFrame, known: DataFrame, han: Han) -> DataFrame:
     parts = checkpoint(read_all(texts, known, han))
     common = common_characters(parts.where("han").select(F.col("name").alias("text")))
     streets = checkpoint(gazetteer(parts, common))
-    places = resolved(parts, streets, common)
+    places = checkpoint(resolved(parts, streets, common))  # read by place and by sound, searched once
     keyed = places.select(F.col("text_id").alias("id"), F.xxhash64(F.lit("place"), "street", "number").alias("key"))
     # a Chinese street in Latin letters is joined by sound, number and town, or by the first two where they name one street
     said = lambda town: F.xxhash64(F.lit("sound"), "syllables", "number", town)
     spoken = parts.where("sound").select(F.col("text_id").alias("id"), said(F.col("town")).alias("key"))
     written = parts.where("han").join(places.select("text_id", "street"), "text_id")
     bases = written.select(F.col("text_id").alias("id"), F.explode(F.array(said(F.col("town")), said(F.lit("")))).alias("key"), F.col("street").cast("string").alias("kind"))
-    edges = star_edges(checkpoint(keyed.unionAll(spoken))).unionAll(probe_edges(spoken, bases)).unionAll(coded_edges(parts))
+    edges = star_edges(keyed.unionAll(spoken)).unionAll(probe_edges(spoken, bases)).unionAll(coded_edges(parts))
     return components(edges).select(F.col("node").alias("text_id"), F.col("component").alias("entity"))
 
 
 Tables = dict[str, tuple[DataFrame, str, str]]
 
 
-def _places(tables: Tables, cities: DataFrame, city: str) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """Of each table its rows (row_id, text_id) and the places of its texts (text_id, entity), by one gazetteer of all tables."""
+def _places(tables: Tables, cities: DataFrame, city: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of all tables (source_table, row_id, text_id) and the places of each table's texts (source_table, text_id, entity), by one gazetteer."""
     han = load_han(cities.sparkSession)
-    own = {name: with_text_ids(rows, row_id, text) for name, (rows, row_id, text) in tables.items()}
-    union = reduce(DataFrame.unionAll, [rows.select("text_id", "text") for rows in own.values()])
+    own = [with_text_ids(rows, row_id, text).withColumn("source_table", F.lit(name)) for name, (rows, row_id, text) in tables.items()]
+    union = reduce(DataFrame.unionAll, own)
     texts = checkpoint(union.groupBy("text_id").agg(F.min("text").alias("text")))
     entities = checkpoint(place_entities(texts, learned_places(texts, "text", cities, city, han), han))
-    held = {name: rows.select("row_id", "text_id") for name, rows in own.items()}
-    return {name: (rows, entities.join(rows.select("text_id").distinct(), "text_id", "left_semi")) for name, rows in held.items()}
+    held = union.select("source_table", "row_id", "text_id")
+    return held, held.select("source_table", "text_id").distinct().join(entities, "text_id")
 
 
 def same_places(tables: Tables, cities: DataFrame, city: str) -> DataFrame:
     """(source_table, row_id_a, row_id_b), a < b, of rows of one table whose texts differ and give one place.
 
-    tables: name to (rows, row id, text). One gazetteer is built from the texts of all tables. Null, blank and
-    "nothing" texts, and texts without a street and house number, are in no pair.
+    tables: name to (rows, row id, text). One gazetteer is built from the texts of all tables, and one plan
+    makes the pairs of all of them. Null, blank and "nothing" texts, and texts without a street and house
+    number, are in no pair.
     """
-    found = [row_pairs(rows, of).select(F.lit(name).alias("source_table"), "row_id_a", "row_id_b") for name, (rows, of) in _places(tables, cities, city).items()]
-    return reduce(DataFrame.unionAll, found)
+    return row_pairs(*_places(tables, cities, city), within=["source_table"])
 
 
 def placed_rows(tables: Tables, cities: DataFrame, city: str) -> DataFrame:
@@ -535,5 +535,4 @@ def placed_rows(tables: Tables, cities: DataFrame, city: str) -> DataFrame:
 
     The form for tables of any size: a row per row, however many pairs there are.
     """
-    found = [class_rows(rows, of).select(F.lit(name).alias("source_table"), "row_id", F.col("entity").alias("place"), "links") for name, (rows, of) in _places(tables, cities, city).items()]
-    return reduce(DataFrame.unionAll, found)
+    return class_rows(*_places(tables, cities, city), within=["source_table"]).withColumnRenamed("entity", "place")

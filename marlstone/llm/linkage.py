@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
 import xxhash
@@ -48,30 +48,31 @@ def probe_edges(probes: DataFrame, bases: DataFrame) -> DataFrame:
     return probes.join(sure, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
 
 
-def row_pairs(rows: DataFrame, entities: DataFrame) -> DataFrame:
-    """(row_id_a, row_id_b), a < b, of rows whose texts differ and belong to one entity.
+def row_pairs(rows: DataFrame, entities: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """(within, row_id_a, row_id_b), a < b, of rows whose texts differ and belong to one entity.
 
     rows: row_id, text_id; entities: text_id, entity. Pairs are made between the texts of an entity and then
     joined with the rows of each text, so rows that repeat one text cost nothing but the pairs they belong to.
+    within: columns of both in which the rows of a pair agree, so that several tables take one plan.
     """
-    several = entities.groupBy("entity").agg(F.min("text_id").alias("lo"), F.max("text_id").alias("hi")).where("lo <> hi").select("entity")
-    texts = entities.join(several, "entity").select("entity", "text_id")
-    pairs = texts.select("entity", F.col("text_id").alias("ta")).join(texts.select("entity", F.col("text_id").alias("tb")), "entity").where("ta < tb").select("ta", "tb")
-    left = rows.select(F.col("text_id").alias("ta"), F.col("row_id").alias("ra"))
-    right = rows.select(F.col("text_id").alias("tb"), F.col("row_id").alias("rb"))
-    return pairs.join(left, "ta").join(right, "tb").select(F.least("ra", "rb").alias("row_id_a"), F.greatest("ra", "rb").alias("row_id_b"))
+    several = entities.groupBy(*within, "entity").agg(F.min("text_id").alias("lo"), F.max("text_id").alias("hi")).where("lo <> hi").select(*within, "entity")
+    texts = entities.join(several, [*within, "entity"]).select(*within, "entity", "text_id")
+    left, right = (texts.select(*within, "entity", F.col("text_id").alias(t)) for t in ("ta", "tb"))
+    pairs = left.join(right, [*within, "entity"]).where("ta < tb").select(*within, "ta", "tb")
+    left, right = (rows.select(*within, F.col("text_id").alias(t), F.col("row_id").alias(r)) for t, r in (("ta", "ra"), ("tb", "rb")))
+    return pairs.join(left, [*within, "ta"]).join(right, [*within, "tb"]).select(*within, F.least("ra", "rb").alias("row_id_a"), F.greatest("ra", "rb").alias("row_id_b"))
 
 
-def class_rows(rows: DataFrame, entities: DataFrame) -> DataFrame:
-    """(row_id, entity, links) of the rows whose text has an entity; links: the entity's rows of other texts.
+def class_rows(rows: DataFrame, entities: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """(within, row_id, entity, links) of the rows whose text has an entity; links: the entity's rows of other texts.
 
-    rows: row_id, text_id; entities: text_id, entity. Counts are taken per text first, so an entity of very
-    many rows is never one group of rows.
+    rows: row_id, text_id; entities: text_id, entity; within: as in row_pairs. Counts are taken per text first,
+    so an entity of very many rows is never one group of rows.
     """
-    texts = rows.groupBy("text_id").agg(F.count("*").alias("own")).join(entities, "text_id")
-    whole = texts.groupBy("entity").agg(F.sum("own").alias("all"))
-    counted = texts.join(whole, "entity").select("text_id", "entity", (F.col("all") - F.col("own")).alias("links"))
-    return rows.join(counted, "text_id").select("row_id", "entity", "links")
+    texts = rows.groupBy(*within, "text_id").agg(F.count("*").alias("own")).join(entities, [*within, "text_id"])
+    whole = texts.groupBy(*within, "entity").agg(F.sum("own").alias("all"))
+    counted = texts.join(whole, [*within, "entity"]).select(*within, "text_id", "entity", (F.col("all") - F.col("own")).alias("links"))
+    return rows.join(counted, [*within, "text_id"]).select(*within, "row_id", "entity", "links")
 
 
 def with_text_ids(rows: DataFrame, row_id: str, text: str) -> DataFrame:

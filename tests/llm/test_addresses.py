@@ -4,6 +4,7 @@ from itertools import combinations
 
 import pytest
 
+from marlstone.llm import addresses
 from marlstone.llm.addresses import Towns, placed_rows, plain_town, read_address, same_places, zh_number
 from marlstone.llm.hanzi import Han
 
@@ -104,6 +105,28 @@ def test_classes_hold_the_same_links_as_the_pairs(spark):
     assert {r["row_id"]: r["links"] for r in placed_rows({"t": (df, "row_id", "addr")}, df, "city").collect() if r["links"]} == links
 
 
+def test_tables_take_one_plan_and_pairs_stay_within_them(spark):
+    df = spark.createDataFrame([(i, t, c) for i, t, c, _ in ROWS], "row_id bigint, addr string, city string")
+    one = {"t": (df, "row_id", "addr")}
+    two = {**one, "u": (df.where("row_id <> 2"), "row_id", "addr")}
+    joins = [[str(places(tables, df, "city")._jdf.queryExecution().optimizedPlan()).count("Join ") for tables in (one, two)] for places in (same_places, placed_rows)]
+    assert all(single == both > 0 for single, both in joins)
+    got = sorted(map(tuple, same_places(two, df, "city").collect()))
+    alone = [r[1:] for r in got if r[0] == "t"]
+    assert len(alone) > 3 and (1, 2) in alone and got == [("t", *r) for r in alone] + [("u", *r) for r in alone if 2 not in r]
+    rows = [placed_rows(two, df, "city").where(f"source_table = '{name}' and links > 0").collect() for name in "tu"]
+    assert [sum(r["links"] for r in part) for part in rows] == [2 * len([r for r in got if r[0] == name]) for name in "tu"]
+
+
+def test_streets_are_searched_once(spark, monkeypatch):
+    df = spark.createDataFrame([(i, t, c) for i, t, c, _ in ROWS], "row_id bigint, addr string, city string")
+    plans = []
+    settled = addresses.components
+    monkeypatch.setattr(addresses, "components", lambda edges: plans.append(str(edges._jdf.queryExecution().optimizedPlan())) or settled(edges))
+    assert same_places({"t": (df, "row_id", "addr")}, df, "city").count() > 0
+    assert len(plans) == 2 and "Window" not in plans[1]
+
+
 class Jvm:
     """The session's JVM without the transliterator."""
 
