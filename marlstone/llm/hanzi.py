@@ -27,7 +27,8 @@ def load(spark: SparkSession) -> Han:
     """The tables of the basic block, of one size whatever the data.
 
     Without them links by sound and between traditional and simplified forms would be missing from a result that
-    looks whole, so a transliterator that is absent, fails or changes nothing is an error.
+    looks whole, so a transliterator that is absent, fails or knows only part of the block is an error. Icu4j 77 reads
+    all but 68 of the block's 20,992 characters and has simplified forms of 3,048.
     """
     chars = [chr(c) for c in range(FIRST, LAST + 1)]
     try:
@@ -37,6 +38,8 @@ def load(spark: SparkSession) -> Han:
         simple = of("Hant-Hans").transliterate(joined).split("\n")
     except Exception as error:  # py4j raises what the missing class raises
         raise RuntimeError("readings of Han characters need the transliterator of Spark's icu4j, which is absent or failed") from error
-    if chars in (sounds, simple):
-        raise RuntimeError("the transliterator of icu4j gives no readings or no simplified forms of Han characters")
-    return Han({ord(a): b for a, b in zip(chars, simple, strict=True) if a != b}, {a: b.strip() for a, b in zip(chars, sounds, strict=True)})
+    sound = {c: r for c, r in zip(chars, (s.strip() for s in sounds), strict=True) if r.isascii() and r.isalpha()}
+    forms = {ord(c): r for c, r in zip(chars, simple, strict=True) if r != c}
+    if len(sound) < 0.99 * len(chars) or len(forms) < 0.1 * len(chars):
+        raise RuntimeError(f"the transliterator of icu4j gives no readings or no simplified forms of Han characters, or too few: {len(sound)} and {len(forms)} of {len(chars)}")
+    return Han(forms, sound)

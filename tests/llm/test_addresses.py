@@ -1,6 +1,7 @@
 """Addresses: the reader, and links against brute force over a fixture."""
 
 from itertools import combinations
+from types import SimpleNamespace
 
 import pytest
 
@@ -143,3 +144,19 @@ def test_places_without_readings_of_han_are_an_error(spark, monkeypatch):
     for places in (same_places, placed_rows):
         with pytest.raises(RuntimeError, match="icu4j"):
             places({"t": (df, "row_id", "addr")}, df, "city")
+
+
+@pytest.mark.parametrize("part", ["sound", "marks", "simple"])
+def test_places_with_readings_of_some_han_only_are_an_error(spark, monkeypatch, part):
+    df = spark.createDataFrame([(i, t, c) for i, t, c, _ in ROWS], "row_id bigint, addr string, city string")
+    known = {"sound": "一" if part == "sound" else None, "simple": "東" if part == "simple" else None}
+
+    def transliterator(rules):
+        only, made = (known["simple"], "东") if rules == "Hant-Hans" else (known["sound"], "lǐ" if part == "marks" else "li")
+        return SimpleNamespace(transliterate=lambda text: "\n".join(made if only in (c, None) else c for c in text.split("\n")))
+
+    jvm = Jvm(spark._jvm)
+    jvm.com = SimpleNamespace(ibm=SimpleNamespace(icu=SimpleNamespace(text=SimpleNamespace(Transliterator=SimpleNamespace(getInstance=transliterator)))))
+    monkeypatch.setattr(spark, "_jvm", jvm)
+    with pytest.raises(RuntimeError, match="too few"):
+        same_places({"t": (df, "row_id", "addr")}, df, "city")
