@@ -62,10 +62,11 @@ UNITS = frozenset("suite ste unit rm room floor fl flat apt apartment og etage s
 PARTICLES = frozenset("de du des la le les l d del".split())
 SHORT_TOWN = {"st": "saint", "ste": "sainte", "mt": "mount", "gt": "great", "pt": "port", "ft": "fort", "nth": "north", "sth": "south", "lwr": "lower", "upr": "upper", "spgs": "springs", "aw": "am wehr"}
 ZH_TYPES = ("大道", "大街", "胡同", "路", "街", "巷", "道", "弄")
-_HAN = re.compile("[㐀-䶿一-鿿]")
+ZH = "㐀-䶿一-鿿\U00020000-\U000323af"  # all blocks of unified ideographs: a name is never read from behind a rare character
+_HAN = re.compile(f"[{ZH}]")
 _DIGITS = {c: k for k, c in enumerate("零一二三四五六七八九")} | {"〇": 0, "两": 2, "壹": 1, "贰": 2, "叁": 3, "肆": 4, "伍": 5, "陆": 6, "柒": 7, "捌": 8, "玖": 9}
 _TENS = {"十": 10, "百": 100, "千": 1000, "拾": 10, "佰": 100, "仟": 1000}
-_ZH_STREET = re.compile(f"([一-鿿]{{1,8}}?)({'|'.join(ZH_TYPES)})((?:\\d+)|[零〇一二三四五六七八九十百千两]+)(?=[号#栋幢楼\\s(（]|\\D|$)")
+_ZH_STREET = re.compile(f"([{ZH}]{{1,8}}?)({'|'.join(ZH_TYPES)})((?:\\d+)|[零〇一二三四五六七八九十百千两]+)(?=[号#栋幢楼\\s(（]|\\D|$)")
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|\d+[a-z]?(?![^\W_])|\d+|[#,;:()\n/·]|-|\.")
 
 
@@ -146,7 +147,7 @@ def _read_han(text: str, towns: Towns, han: Han) -> Address | None:
     text = han.simplified(unicodedata.normalize("NFKC", text)).replace("號", "号")
     post = re.search(r"(?<!\d)(\d{6})(?!\d)", text)
     text = re.sub(r"邮编:?\s*\d{6}|(?<!\d)\d{6}(?!\d)", " ", text)
-    text = re.sub(r"(?<=[一-鿿\d#])[ \t](?=[一-鿿\d#])", " ", text)
+    text = re.sub(rf"(?<=[{ZH}\d#])[ \t](?=[{ZH}\d#])", " ", text)
     town = ""
     rest = re.sub(r"[\s·,，、;；()（）.。:：\-—|/]+", "\n", text)
     for name in towns.han:
@@ -161,7 +162,7 @@ def _read_han(text: str, towns: Towns, han: Han) -> Address | None:
     rest = re.sub("中国|中华人民共和国", "\n", rest)
     for name in towns.provinces:
         rest = re.sub(f"(^|\\n){name}(省|州|自治区|特别行政区)?", "\n", rest, count=1)
-    rest = re.sub(r"(^|\n)[一-鿿]{2,3}[省州](?=[一-鿿])", "\n", rest)
+    rest = re.sub(rf"(^|\n)[{ZH}]{{2,3}}[省州](?=[{ZH}])", "\n", rest)
     for name, of in towns.districts.items():
         if re.search(f"(^|\\n){name}区", rest):
             town, rest = town or of, re.sub(f"(^|\\n){name}区", "\n", rest, count=1)
@@ -169,7 +170,7 @@ def _read_han(text: str, towns: Towns, han: Han) -> Address | None:
     else:
         for name, of in towns.districts.items():
             # without its mark a district is taken off only where a street name of two characters or more remains
-            if re.search(f"(^|\\n){name}(\\n|[一-鿿]{{2,8}}({'|'.join(ZH_TYPES)})[\\d零〇一二三四五六七八九十百千两])", rest):
+            if re.search(f"(^|\\n){name}(\\n|[{ZH}]{{2,8}}({'|'.join(ZH_TYPES)})[\\d零〇一二三四五六七八九十百千两])", rest):
                 town, rest = town or of, re.sub(f"(^|\\n){name}", "\n", rest, count=1)
                 break
     rest = re.sub("(^|\\n)[市区]", "\n", rest)
@@ -303,8 +304,8 @@ def forms_in(text: str, han: Han, longest: int, most_words: int) -> Iterator[str
     if is_nothing(text):
         return
     if _HAN.search(text):
-        plain = re.sub(r"(?<=[一-鿿\d#])[ \t](?=[一-鿿\d#])", "", han.simplified(unicodedata.normalize("NFKC", text)))
-        for run in re.findall("[一-鿿]+", plain):
+        plain = re.sub(rf"(?<=[{ZH}\d#])[ \t](?=[{ZH}\d#])", "", han.simplified(unicodedata.normalize("NFKC", text)))
+        for run in re.findall(f"[{ZH}]+", plain):
             for size in range(2, longest + 1):
                 yield from (run[k : k + size] for k in range(len(run) - size + 1))
     tokens = [t for t in _TOKEN.findall(folded(text.replace("’", "'"))) if t not in ("-", ".")]
@@ -335,7 +336,7 @@ def learned_places(addresses: DataFrame, text: str, cities: DataFrame, city: str
     kinds = "form string, kind string, value string, of string"
     towns = checkpoint(cities.select(F.trim(city).alias("c")).where("c <> ''").distinct().mapInPandas(named, kinds).distinct())
     bare = F.regexp_replace(F.col(text), r"[\s·,，、　]", "")
-    part = addresses.select(F.regexp_extract(bare, "(?:^|国)([一-鿿]{2}(?:省|州))", 1).alias("p"), F.regexp_extract(bare, "([一-鿿]{2,3})市[一-鿿]{2,3}区", 1).alias("t"), F.regexp_extract(bare, "[一-鿿]{2,3}市([一-鿿]{2})区", 1).alias("d"))
+    part = addresses.select(F.regexp_extract(bare, f"(?:^|国)([{ZH}]{{2}}(?:省|州))", 1).alias("p"), F.regexp_extract(bare, f"([{ZH}]{{2,3}})市[{ZH}]{{2,3}}区", 1).alias("t"), F.regexp_extract(bare, f"[{ZH}]{{2,3}}市([{ZH}]{{2}})区", 1).alias("d"))
     often = part.where("p <> ''").groupBy("p").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     provinces = often.select(F.explode(F.array_distinct(F.array("p", F.regexp_replace("p", "省$", "")))).alias("form"), F.lit("province").alias("kind"), F.col("form").alias("value"), F.lit("").alias("of"))
     pairs = part.where("d <> ''").groupBy("t", "d").agg(F.count("*").alias("n")).where(F.col("n") >= least)

@@ -160,3 +160,10 @@ def test_places_with_readings_of_some_han_only_are_an_error(spark, monkeypatch,
     monkeypatch.setattr(spark, "_jvm", jvm)
     with pytest.raises(RuntimeError, match="too few"):
         same_places({"t": (df, "row_id", "addr")}, df, "city")
+
+
+@pytest.mark.parametrize("rare", ["㘵", "\U0002c488"])
+def test_a_street_is_read_with_its_rare_characters(rare):
+    for text in (f"云州省青屏市古渡区{rare}京巷404号", f"青屏·古渡·京{rare}巷四百零四号", f"青屏市{rare}巷404号"):
+        a = read_address(text, TOWNS, NO_HAN)
+        assert rare in a.name and (a.town, a.kind, a.number) == ("青屏", "巷", "404")
