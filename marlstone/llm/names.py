@@ -307,23 +307,18 @@ def _merge_rounds(keyed: DataFrame, enriched=None) -> DataFrame:
     probes are asked again, and bases of one entity are of one kind now. It is repeated until no edge between
     entities is found.
     """
-    bases, probes, kinds = (keyed.where(c).select("id", "key", "kind") for c in (F.col("role") == BASE, F.col("role") == PROBE, F.col("role") == KIND))
-    edges = star_edges(bases.select("id", "key")).unionAll(probe_edges(probes.select("id", "key"), kinds))
+    of_role = lambda rows, role: rows.where(F.col("role") == role)
+    bases, probes, kinds = (of_role(keyed, role) for role in (BASE, PROBE, KIND))
+    edges = star_edges(bases.select("id", "key")).unionAll(probe_edges(probes.select("id", "key"), kinds.select("id", "key", "kind")))
     joined = checkpoint(components(edges).select(F.col("node").alias("id"), F.col("component").alias("entity")))
     while enriched is not None:
         fresh = checkpoint(enriched(joined))
-        made, asked, told = (fresh.where(F.col("role") == r).select("id", "key") for r in (BASE, PROBE, KIND))
-        named = kinds.select("id", "key").unionAll(told).join(joined, "id", "left").select("id", "key", F.coalesce("entity", "id").alias("kind"))
-        hits = star_edges(bases.select("id", "key").join(made.select("key").distinct(), "key", "left_semi").select("id", "key").unionAll(made)).unionAll(probe_edges(probes.select("id", "key").unionAll(asked), named))
-        of = joined.select(F.col("id").alias("n"), "entity")
-        met = (
-            hits.join(of.select(F.col("n").alias("a"), F.col("entity").alias("ea")), "a", "left")
-            .join(of.select(F.col("n").alias("b"), F.col("entity").alias("eb")), "b", "left")
-            .select(F.coalesce("ea", "a").alias("a"), F.coalesce("eb", "b").alias("b"))
-            .where("a <> b")
-            .distinct()
-        )
-        met = checkpoint(met)
+        # entities stand for their profiles; the bearers of a base key are joined already, unless a fresh profile has it too
+        again = bases.join(of_role(fresh, BASE).select("key").distinct(), "key", "left_semi").select(keyed.columns)
+        rows = again.unionAll(keyed.where(F.col("role") != BASE)).unionAll(fresh).join(joined, "id", "left")
+        asked = checkpoint(rows.select(F.coalesce("entity", "id").alias("id"), "key", "role"))
+        bearers, asking, told = (of_role(asked, role).select("id", "key") for role in (BASE, PROBE, KIND))
+        met = checkpoint(star_edges(bearers).unionAll(probe_edges(asking, told.withColumn("kind", F.col("id")))))
         if met.isEmpty():
             break
         # only the entities that met are put together; the others stay as they are
@@ -333,11 +328,6 @@ def _merge_rounds(keyed: DataFrame, enriched=None) -> DataFrame:
     return joined
 
 
-def _of_texts(read: DataFrame, merged: DataFrame) -> DataFrame:
-    """(text_id, entity): texts of one profile, and of profiles that were merged, belong to one entity."""
-    return read.select("text_id", "id").join(merged, "id", "left").select("text_id", F.coalesce("entity", "id").alias("entity"))
-
-
 def learned_places(rows: DataFrame, name: str, address: str, han: Han, least: int = 5) -> DataFrame:
     """(form, kind, value, of): town names, by character and by sound.
 
@@ -410,7 +400,7 @@ def read_companies(texts: DataFrame, places: DataFrame | None) -> tuple:
     return read, _keyed(read, COMPANY, keys_of), keys_of
 
 
-def _combined(profiles: DataFrame, entities: DataFrame, keys_of) -> DataFrame:
+def _combined(read: DataFrame, entities: DataFrame, keys_of) -> DataFrame:
     """(id, key, role, kind) of the new spellings of merged companies: each half of a name with each other half of its entity.
 
     Halves are the two words in any order, else the first and the last words or, of one word and of Chinese
@@ -418,7 +408,7 @@ def _combined(profiles: DataFrame, entities: DataFrame, keys_of) -> DataFrame:
     """
     words = F.split("house", " ")
     count = F.when(F.col("han") != "", F.length("han")).when(F.size(words) == 1, -F.length("house")).otherwise(F.size(words))
-    read = profiles.join(entities, "id").select("id", "entity", "trade", "house", "han", F.when(F.size(words) == 2, F.array_sort(words)).otherwise(words).alias("w"), count.alias("n"))
+    read = read.join(entities, "id").select("id", "entity", "trade", "house", "han", F.when(F.size(words) == 2, F.array_sort(words)).otherwise(words).alias("w"), count.alias("n"))
     read = read.select("id", "entity", "trade", "w", "n", (F.col("han") != "").alias("chinese"), F.when(F.col("han") != "", F.col("han")).otherwise(F.col("house")).alias("text"))
     letters = F.col("chinese") | (F.col("n") < 0)
     middle = F.floor(F.abs("n") / 2).cast("int")
@@ -426,23 +416,23 @@ def _combined(profiles: DataFrame, entities: DataFrame, keys_of) -> DataFrame:
     y = F.when(letters, F.substr("text", middle + 1)).otherwise(F.concat_ws(" ", F.slice("w", middle + 1, F.size("w"))))
     by = ["entity", "trade", "chinese", "n"]
     halves = read.where("abs(n) > 1").select("id", *by, x.alias("x"), y.alias("y"))
-    grown = halves.groupBy(*by).agg(F.min("id").alias("id"), F.collect_set("x").alias("xs"), F.collect_set("y").alias("ys")).where("size(xs) > 1 and size(ys) > 1")
-    made = grown.select("id", *by, F.explode("xs").alias("x"), "ys").select("id", *by, "x", F.explode("ys").alias("y")).join(halves.select(*by, "x", "y").distinct(), [*by, "x", "y"], "left_anti")
+    grown = halves.groupBy(*by).agg(F.min("id").alias("id"), F.collect_set(F.struct("x", "y")).alias("held")).select("id", *by, "held", F.array_distinct("held.x").alias("xs"), F.array_distinct("held.y").alias("ys"))
+    each = grown.where("size(xs) > 1 and size(ys) > 1").select("id", *by, "held", "ys", F.explode("xs").alias("x"))
+    own = F.transform(F.filter("held", lambda h: h["x"] == F.col("x")), lambda h: h["y"])
+    made = each.select("id", *by, "x", F.explode(F.array_except("ys", own)).alias("y"))
     text = F.when(F.col("chinese") | (F.col("n") < 0), F.concat("x", "y")).otherwise(F.concat_ws(" ", "x", "y"))
     new = made.select("id", "trade", F.when(F.col("chinese"), "").otherwise(text).alias("house"), F.when(F.col("chinese"), text).otherwise("").alias("han"))
     return _keys(new, COMPANY, keys_of).distinct()
 
 
-def _united(profiles: DataFrame, entities: DataFrame, keys_of) -> DataFrame:
+def _united(read: DataFrame, entities: DataFrame, keys_of) -> DataFrame:
     """(id, key, role, kind) of merged people: the one given name that all their given names may stand for with each of their family names."""
-    read = profiles.join(entities, "id").select("id", "entity", "family", "given")
-    named = read.where("given <> ''")
-    whole = named.groupBy("entity").agg(F.count("*").alias("of"))
-    agreed = named.select("entity", F.explode(F.split("given", " ")).alias("name")).groupBy("entity", "name").agg(F.count("*").alias("n")).join(whole, "entity").where("n = of")
-    sure = agreed.groupBy("entity").agg(F.min("name").alias("given"), F.count("*").alias("n")).where("n = 1").select("entity", "given")
-    first = read.groupBy("entity").agg(F.min("id").alias("id"))
-    new = read.select("entity", "family").distinct().join(read.select("entity", "family", "given").distinct().join(sure, ["entity", "given"]).select("entity", "family"), ["entity", "family"], "left_anti")
-    new = new.join(sure, "entity").join(first, "entity").select("id", "family", "given", F.left("given", F.lit(1)).alias("initial"))
+    grown = read.join(entities, "id").groupBy("entity").agg(F.min("id").alias("id"), F.collect_set(F.struct("family", "given")).alias("held"))
+    names = F.transform(F.filter("held", lambda h: h["given"] != ""), lambda h: F.split(h["given"], " "))
+    shared = F.aggregate("names", F.get("names", F.lit(0)), lambda all_, own: F.array_intersect(all_, own))
+    sure = grown.withColumn("names", names).select("id", "held", shared.alias("names")).where("size(names) = 1").select("id", "held", F.get("names", F.lit(0)).alias("given"))
+    own = F.transform(F.filter("held", lambda h: h["given"] == F.col("given")), lambda h: h["family"])
+    new = sure.select("id", "given", F.explode(F.array_except(F.array_distinct("held.family"), own)).alias("family")).select("id", "family", "given", F.left("given", F.lit(1)).alias("initial"))
     return _keys(new, PERSON, keys_of)
 
 
@@ -479,36 +469,39 @@ def read_people(texts: DataFrame) -> tuple:
 Tables = dict[str, tuple[DataFrame, str, str, str, str | None]]
 
 
-def _entities(tables: Tables) -> dict[str, tuple[DataFrame, DataFrame]]:
-    """Of each table its rows (row_id, text_id) and the entities of its texts (text_id, entity).
+def _entities(tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """The rows of all tables (source_table, row_id, text_id) and the entities of each table's texts (source_table, text_id, entity).
 
-    Only distinct profiles are blocked, those of all tables in one run.
+    Only distinct profiles are blocked, those of all tables in one run; texts of one profile, and of profiles that
+    were merged, belong to one entity.
     """
-    held, reads, keys, growing = {}, {}, None, []
+    held, reads, keys, growing = [], [], [], []
     for name, (rows, row_id, text, kind, address) in tables.items():
         own = with_text_ids(rows, row_id, text)
-        held[name] = own.select("row_id", "text_id")
+        held.append(own.select(F.lit(name).alias("source_table"), "row_id", "text_id"))
         texts = own.groupBy("text_id").agg(F.min("text").alias("text"))
         places = learned_places(rows, text, address, load_han(rows.sparkSession)) if address else None
-        reads[name], keyed, keys_of = read_companies(texts, places) if kind == "company" else read_people(texts)
-        keys = keyed if keys is None else keys.unionAll(keyed)
-        growing.append((_combined, _profiles(reads[name], COMPANY), keys_of) if kind == "company" else (_united, _profiles(reads[name], PERSON), keys_of))
+        read, keyed, keys_of = read_companies(texts, places) if kind == "company" else read_people(texts)
+        reads.append(read.select(F.lit(name).alias("source_table"), "text_id", "id"))
+        keys.append(keyed)
+        growing.append((_combined if kind == "company" else _united, read, keys_of))
 
     def enriched(entities: DataFrame) -> DataFrame:
-        return reduce(DataFrame.unionAll, [grow(profiles, entities, keys_of) for grow, profiles, keys_of in growing])
+        return reduce(DataFrame.unionAll, [grow(read, entities, keys_of) for grow, read, keys_of in growing])
 
-    merged = _merge_rounds(checkpoint(keys), enriched)
-    return {name: (held[name], _of_texts(read, merged)) for name, read in reads.items()}
+    merged = _merge_rounds(checkpoint(reduce(DataFrame.unionAll, keys)), enriched)
+    texts = reduce(DataFrame.unionAll, reads).join(merged, "id", "left").select("source_table", "text_id", F.coalesce("entity", "id").alias("entity"))
+    return reduce(DataFrame.unionAll, held), checkpoint(texts)
 
 
 def same_names(tables: Tables) -> DataFrame:
     """(source_table, row_id_a, row_id_b), a < b, of rows of one table whose texts differ and name one company or person.
 
     tables: name to (rows, row id, text, "company" or "person", address or None). Null, blank and "nothing"
-    texts are in no pair, nor are rows of one text with each other. Rows come in at the end.
+    texts are in no pair, nor are rows of one text with each other. Rows come in at the end, those of all tables
+    in one plan.
     """
-    found = [row_pairs(rows, of).select(F.lit(name).alias("source_table"), "row_id_a", "row_id_b") for name, (rows, of) in _entities(tables).items()]
-    return reduce(DataFrame.unionAll, found)
+    return row_pairs(*_entities(tables), within=["source_table"])
 
 
 def named_entities(tables: Tables) -> DataFrame:
@@ -516,4 +509,4 @@ def named_entities(tables: Tables) -> DataFrame:
 
     The form for tables of any size: a row per row, however many pairs there are.
     """
-    return reduce(DataFrame.unionAll, [class_rows(rows, of).select(F.lit(name).alias("source_table"), "row_id", "entity", "links") for name, (rows, of) in _entities(tables).items()])
+    return class_rows(*_entities(tables), within=["source_table"])

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from marlstone.llm.hanzi import Han, load
-from marlstone.llm.linkage import deletions, probe_edges, star_edges
-from marlstone.llm.names import edits, learned_places, named_entities, read_companies, read_company, read_person, same_names, trade_of
+from marlstone.llm.linkage import deletions, key64, probe_edges, star_edges
+from marlstone.llm.names import BASE, _combined, _united, edits, learned_places, named_entities, read_companies, read_company, read_person, same_names, trade_of
 
 NO_HAN = Han({}, {})
 
@@ -142,6 +142,46 @@ def test_classes_hold_the_same_links_as_the_pairs(spark):
     assert named_entities({"t": (df.where("false"), "row_id", "n", "company", None)}).count() == 0
 
 
+def test_tables_take_one_plan_and_pairs_stay_within_them(spark):
+    df = spark.createDataFrame([(i, n) for i, n, _ in PEOPLE], "row_id bigint, n string")
+    one = {"t": (df, "row_id", "n", "person", None)}
+    two = {**one, "u": (df.where("row_id <> 2"), "row_id", "n", "person", None)}
+    joins = [[str(named(tables)._jdf.queryExecution().optimizedPlan()).count("Join ") for tables in (one, two)] for named in (same_names, named_entities)]
+    assert all(single == both > 0 for single, both in joins)
+    got = sorted(map(tuple, same_names(two).collect()))
+    assert got == [("t", *p) for p in brute(PEOPLE)] + [("u", *p) for p in brute(PEOPLE) if 2 not in p]
+    rows = [named_entities(two).where(f"source_table = '{name}'").collect() for name in "tu"]
+    assert [sum(r["links"] for r in part) for part in rows] == [2 * len([r for r in got if r[0] == name]) for name in "tu"]
+
+
+def grown(spark, grow, columns, rows, entities):
+    """What grow makes of rows (text_id, id, columns) in entities (id, entity): (id, key), and the joins of its plan."""
+    read = spark.createDataFrame(rows, f"text_id bigint, id bigint, {columns}")
+    new = grow(read, spark.createDataFrame(entities, "id bigint, entity bigint"), lambda *values: [("|".join(values), BASE, "")])
+    assert str(new._jdf.queryExecution().optimizedPlan()).count("Join ") == 1
+    return sorted((r["id"], r["key"]) for r in new.collect())
+
+
+def test_merged_profiles_are_combined_in_one_join(spark):
+    people = [
+        (1, 1, "smith", "william", "w"), (2, 1, "smith", "william", "w"), (3, 2, "smyth", "benjamin william", "w"), (4, 3, "smithe", "", ""),
+        (5, 4, "kettering", "susan", "s"), (6, 5, "ketering", "sven", "s"), (7, 6, "ashdown", "", "r"), (8, 7, "ashdowne", "", ""),
+        (9, 8, "miller", "christopher katherine", "c"), (10, 9, "millar", "", ""), (11, 10, "alone", "peter", "p"),
+    ]
+    entities = [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6), (7, 6), (8, 8), (9, 8)]
+    expected = sorted((1, key64(f"{family}|william|w")) for family in ("smyth", "smithe"))
+    assert grown(spark, _united, "family string, given string, initial string", people, entities) == expected
+    companies = [
+        (1, 1, "begoru fasojo", "foods", ""), (2, 1, "begoru fasojo", "foods", ""), (3, 2, "fasoju begora", "foods", ""), (4, 3, "begoru fasoju north", "foods", ""), (5, 4, "lakuti posifa", "trading", ""),
+        (6, 5, "", "foods", "宏宝丰仁"), (7, 6, "", "foods", "宏保丰人"), (8, 7, "nuvosi", "foods", ""), (9, 8, "nuvoti", "foods", ""), (10, 9, "mufosa", "foods", ""),
+    ]
+    new = ["begora fasojo|foods|", "begoru fasoju|foods|", "|foods|宏宝丰人", "|foods|宏保丰仁", *(f"{x}{y}|foods|" for x in ("nuv", "muf") for y in ("osi", "oti", "osa"))]
+    held = {"nuvosi|foods|", "nuvoti|foods|", "mufosa|foods|"}
+    first = lambda name: 5 if "宏" in name else 1 if " " in name else 7
+    got = grown(spark, _combined, "house string, trade string, han string", companies, [(k, 1) for k in range(1, 10)])
+    assert got == sorted((first(n), key64(n)) for n in new if n not in held)
+
+
 class Jvm:
     """The session's JVM with another package in the place of com."""
 

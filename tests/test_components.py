@@ -2,6 +2,7 @@
 
 import random
 
+from marlstone.operators import components as steps
 from marlstone.operators.components import components
 
 
@@ -31,3 +32,16 @@ def test_nulls_repeats_and_nothing(spark):
     df = spark.createDataFrame([("x", "y"), ("y", "x"), ("x", "y"), (None, "q"), ("q", None)], "a string, b string")
     assert {tuple(r) for r in components(df).collect()} == {("x", "x"), ("y", "x")}
     assert components(df.where("false")).count() == 0
+
+
+def test_settled_edges_take_no_step(spark, monkeypatch):
+    taken = []
+    step = steps._large_star
+    monkeypatch.setattr(steps, "_large_star", lambda state: taken.append(1) or step(state))
+    star = [(0, k) for k in range(1, 50)] + [(100, 101), (7, 7)]
+    assert {r["node"]: r["component"] for r in components(spark.createDataFrame(star, "a bigint, b bigint")).collect()} == union_find(star)
+    assert not taken
+    for edges in ([(0, 2), (1, 2)], [(0, 1), (1, 2)]):  # a node with two smaller neighbours, a neighbour with a smaller one
+        taken.clear()
+        assert {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()} == union_find(edges)
+        assert len(taken) == 1
